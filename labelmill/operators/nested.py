@@ -8,7 +8,7 @@ levels; documents that are deeper go through further rounds, so there is no dept
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelmill.session import materialize
@@ -31,65 +31,36 @@ TABLES = {
     "moieties": "name string, unii string",
     "media": "media_id string, reference_value string",
 }
-_NODE = "struct<path:string,parent:string,name:string,pos:int,listed:boolean,js:string>"
-
-
-def _node(path: Column, parent: Column, name: Column, pos: Column, listed: Column, js: Column) -> Column:
-    return F.struct(
-        path.alias("path"), parent.alias("parent"), name.alias("name"), pos.cast("int").alias("pos"),
-        listed.alias("listed"), js.alias("js"),
-    )
-
-
-def _starts(js: Column, sign: str) -> Column:
-    return F.coalesce(F.regexp_extract(js, r"^\s*(.)", 1) == sign, F.lit(False))
-
-
-def _is_record(n: Column) -> Column:
-    return n["listed"] & _starts(n["js"], "{")
-
-
-def _step(nodes: Column, names: tuple[str, ...]) -> Column:
-    """The nodes one level below."""
-    empty = F.array().cast(f"array<{_NODE}>")
-
-    def below(n: Column) -> Column:
-        # A lone object under a record name is position 0 of its list.
-        lone = n["listed"] & n["pos"].isNull()
-        here = F.when(lone & _starts(n["js"], "{"), F.concat(n["path"], F.lit("[0]"))).otherwise(n["path"])
-        parent = F.when(_is_record(n), here).otherwise(n["parent"])
-        entries = F.map_entries(F.from_json(n["js"], "map<string,string>"))
-        fields = F.transform(
-            F.filter(entries, lambda e: F.substring(F.ltrim(e["value"]), 1, 1).isin("{", "[", '"')),
-            lambda e: _node(
-                F.when(here == "", e["key"]).otherwise(F.concat(here, F.lit("."), e["key"])),
-                parent, e["key"], F.lit(None), e["key"].isin(*names), e["value"],
-            ),
-        )
-        items = F.transform(
-            F.from_json(n["js"], "array<string>"),
-            lambda x, i: _node(
-                F.concat(n["path"], F.lit("["), i.cast("string"), F.lit("]")),
-                n["parent"], n["name"], i, n["listed"] & n["pos"].isNull(), x,
-            ),
-        )
-        inner = F.array(
-            _node(
-                n["path"], n["parent"], n["name"], n["pos"], n["listed"],
-                F.from_json(F.concat(F.lit("["), n["js"], F.lit("]")), "array<string>")[0],
-            )
-        )
-        found = (
-            F.when(_starts(n["js"], "{"), fields)
-            .when(_starts(n["js"], "["), items)
-            .when(_starts(n["js"], '"'), inner)
-        )
-        return F.coalesce(found, empty)
-
-    # Texts that only look like JSON hold nothing.
-    sound = lambda n: _starts(n["js"], "{") | _starts(n["js"], "[") | _starts(n["js"], '"')
-    children = F.flatten(F.transform(nodes, below))
-    return F.filter(children, lambda n: sound(n) & F.try_parse_json(n["js"]).isNotNull())
+
+
+def _node(path: str, parent: str, name: str, pos: str, listed: str, js: str) -> str:
+    """SQL of a node; ``sign`` is the first sign of its text if that is sound JSON of a container or a text."""
+    sign = f"substring(ltrim({js}), 1, 1)"
+    return f"""named_struct('path', {path}, 'parent', {parent}, 'name', {name}, 'pos', cast({pos} AS int), 'listed', {listed},
+        'js', {js}, 'sign', CASE WHEN {sign} IN ('{{', '[', '"') AND try_parse_json({js}) IS NOT NULL THEN {sign} END)"""
+
+
+def _step(nodes: str, names: tuple[str, ...]) -> str:
+    """SQL of the nodes one level below the column ``nodes``.
+
+    A lone object under a record name is position 0 of its list. Lists within a list are walked,
+    but what stands in them isn't in the record list itself.
+    """
+    among = ", ".join(f"'{n}'" for n in names)
+    field = _node(
+        "concat(a.here, CASE WHEN a.here = '' THEN '' ELSE '.' END, e.key)", "a.parent", "e.key", "NULL", f"e.key IN ({among})", "e.value"
+    )
+    item = _node("concat(n.path, '[', i, ']')", "n.parent", "n.name", "i", "n.listed AND n.pos IS NULL", "x")
+    text = _node("n.path", "n.parent", "n.name", "n.pos", "n.listed", "t")
+    here = "concat(n.path, CASE WHEN n.listed AND n.pos IS NULL THEN '[0]' ELSE '' END)"
+    return f"""filter(flatten(transform({nodes}, n -> CASE n.sign
+        WHEN '{{' THEN flatten(transform(array(named_struct('here', {here}, 'parent', CASE WHEN n.listed THEN {here} ELSE n.parent END)),
+            a -> transform(map_entries(from_json(n.js, 'map<string,string>')), e -> {field})))
+        WHEN '[' THEN transform(from_json(n.js, 'array<string>'), (x, i) -> {item})
+        ELSE transform(from_json(concat('[', n.js, ']'), 'array<string>'), t -> {text}) END)), n -> n.sign IS NOT NULL)"""
+
+
+_IS_RECORD = "n -> n.listed AND n.sign = '{'"
 
 
 def nested_records(df: DataFrame, key: str, json_column: str, names: tuple[str, ...] = RECORD_LISTS) -> DataFrame:
@@ -101,19 +72,16 @@ def nested_records(df: DataFrame, key: str, json_column: str, names: tuple[str,
     list keep their position but are no record; a lone object stands at position 0; a text that
     is JSON counts as what it says; keys may repeat (each row is a document of its own).
     """
-    top = F.array(
-        _node(F.lit(""), F.lit(""), F.lit(""), F.lit(None), F.lit(False), F.col(json_column).cast("string"))
-    )
-    level = df.select(F.col(key), top.alias("_nodes")).where(F.try_parse_json(F.col(json_column)).isNotNull())
+    top = _node("''", "''", "''", "NULL", "false", f"cast(`{json_column}` AS string)")
+    level = df.select(F.col(key), F.expr(f"filter(array({top}), n -> n.sign IS NOT NULL)").alias("_l0")).where(F.size("_l0") > 0)
     rounds = []
     while True:
-        records = []
         for k in range(LEVELS):
-            level = level.withColumn(f"_l{k}", _step(F.col("_nodes") if k == 0 else F.col(f"_l{k - 1}"), names))
-            records.append(F.filter(F.col(f"_l{k}"), _is_record))
-        done = materialize(level.select(key, F.flatten(F.array(*records)).alias("_records"), F.col(f"_l{LEVELS - 1}").alias("_nodes")))
+            level = level.withColumn(f"_l{k + 1}", F.expr(_step(f"_l{k}", names)))
+        records = ", ".join(f"filter(_l{k + 1}, {_IS_RECORD})" for k in range(LEVELS))
+        done = materialize(level.select(key, F.expr(f"flatten(array({records}))").alias("_records"), F.col(f"_l{LEVELS}").alias("_l0")))
         rounds.append(done.where(F.size("_records") > 0).select(key, F.inline("_records")))
-        level = done.where(F.size("_nodes") > 0).select(key, "_nodes")
+        level = done.where(F.size("_l0") > 0).select(key, "_l0")
         if level.isEmpty():
             break
     rows = rounds[0]
