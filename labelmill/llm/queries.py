@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelmill.llm import mixing, neardup, reading, splitting
+from labelmill.llm import leakage, mixing, neardup, reading, splitting
 from labelmill.sources.tables import read
 
 #: The texts of p2 and p7: table, field.
@@ -51,6 +51,15 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p7_levels(spark, sf_dir).where(F.col("band").isin("plain", "expert")).select("field", "id", "band")
 
 
+def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a leaked item, with the similarity."""
+    return leakage.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "eval_items"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p8_leaks(spark, sf_dir).select("item_id", "doc_id")
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = mixing.source_sizes(read(spark, sf_dir, "documents"), read(spark, sf_dir, "mix_targets"))
     return mixing.expected_copies(sizes).where("short").select("source")
@@ -79,6 +88,8 @@ QUERIES = {
     "p2_documents": p2_documents,
     "p7_found": p7_found,
     "p7_levels": p7_levels,
+    "p8_found": p8_found,
+    "p8_leaks": p8_leaks,
     "p9_found": p9_found,
     "p9_mix": p9_mix,
     "p9_shares": p9_shares,
