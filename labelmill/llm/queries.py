@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelmill.llm import leakage, mixing, neardup, reading, splitting
+from labelmill.llm import leakage, mixing, names, neardup, reading, splitting
 from labelmill.sources.tables import read
 
 #: The texts of p2 and p7: table, field.
@@ -38,6 +38,16 @@ def p2_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.duplicate_groups(read(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
 
 
+def p3_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every spelling in manufacturer and labeler with its entity."""
+    rows = read(spark, sf_dir, "medications")
+    return names.link_names(rows.select(F.explode(F.array("manufacturer", "labeler")).alias("name")))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.name_pairs(p3_names(spark, sf_dir))
+
+
 def p7_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The level of every section and indication with a text, one row per id (the latest delivery)."""
     texts = _field_texts(spark, sf_dir).where("text is not null")
@@ -86,6 +96,8 @@ QUERIES = {
     "p2_found": p2_found,
     "p2_groups": p2_groups,
     "p2_documents": p2_documents,
+    "p3_found": p3_found,
+    "p3_names": p3_names,
     "p7_found": p7_found,
     "p7_levels": p7_levels,
     "p8_found": p8_found,
