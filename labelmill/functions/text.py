@@ -26,9 +26,9 @@ def collapse(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, SPACE + "+", " "))
 
 
-def decode_entities(c: Column) -> Column:
-    """The nine common entities, in order (so ``&amp;lt;`` gives ``<``); stays on the JVM."""
-    for entity, sign in ENTITIES:
+def decode_entities(c: Column, passes: int = 2) -> Column:
+    """The nine common entities, in order and twice (so ``&amp;lt;`` gives ``<``); stays on the JVM."""
+    for entity, sign in ENTITIES * passes:
         c = F.replace(c, F.lit(entity), F.lit(sign))
     return c
 
@@ -40,7 +40,7 @@ def _unescape(texts: pd.Series) -> pd.Series:
 
 def decode_all_entities(c: Column) -> Column:
     """The common entities, then the full HTML table where an entity is left (Arrow-batched)."""
-    c = decode_entities(c)
+    c = decode_entities(c, passes=1)
     return F.when(c.contains("&"), _unescape(c)).otherwise(c)
 
 

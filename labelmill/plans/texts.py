@@ -218,7 +218,7 @@ _SP = r"[\s\x{00A0}\x{2000}-\x{200A}\x{202F}\x{3000}]"
 
 
 def _entities(c: str) -> str:
-    for e, s in text.ENTITIES:
+    for e, s in text.ENTITIES * 2:
         quoted = s.replace("'", "''")
         c = f"replace({c}, '{e}', '{quoted}')"
     return c
