@@ -159,7 +159,9 @@ def near_cores(cores: DataFrame, radius: int = RADIUS, pivots: int = PIVOTS) ->
     def to_pivots(col: pd.Series) -> pd.Series:
         return pd.Series([[distance(c, p) for p in points] for c in col])
 
-    placed = materialize(cores.repartition("core").withColumn("d", to_pivots("core")))
+    # A fixed number of tasks: distances are costly for their rows' size, so small partitions aren't merged.
+    tasks = int(cores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = materialize(cores.repartition(tasks, "core").withColumn("d", to_pivots("core")))
     nearest = F.array_min("d")
     rings = [F.get("d", F.lit(k)).alias(f"d{k}") for k in range(min(RINGS, len(points)))]
     home = placed.select("block", "core", *rings, (F.array_position("d", nearest) - 1).cast("int").alias("cell"))
@@ -197,7 +199,8 @@ def link_names(names: DataFrame, name: str = "name") -> DataFrame:
     """
     distinct = names.select(F.col(name).alias("name")).where("name is not null").distinct()
     parts = ["kind", "core", "alias", "business", "direction", "first", "middle", "initials"]
-    read = materialize(distinct.withColumn("p", _read("name")).select("name", *[F.col(f"p.{c}").alias(c) for c in parts]))
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    read = materialize(distinct.repartition(tasks, "name").withColumn("p", _read("name")).select("name", *[F.col(f"p.{c}").alias(c) for c in parts]))
     read = read.withColumn("pid", F.when(F.coalesce("core", F.lit("")) == "", F.xxhash64("name")).otherwise(F.xxhash64(*[F.coalesce(c, F.lit("\0")) for c in parts if c not in ("alias", "initials")])))
     usable = read.where("coalesce(core, '') != ''")
     profiles = materialize(usable.groupBy("pid", *[c for c in parts if c not in ("alias", "initials")]).agg(F.max("initials").alias("initials"), F.collect_set("alias").alias("aliases")))
