@@ -79,6 +79,15 @@ def section_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def first_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per label and section type the first text, by order and id."""
+    rows = _texts(spark, sf_dir, "spl_id", "loinc_code", "section_order").where("section_text is not null")
+    rows = rows.withColumn("section_type", clinical.section_type(F.col("loinc_code"))).where("section_type is not null")
+    place = F.struct(F.coalesce("section_order", F.lit(2**31 - 1)).alias("o"), "id", "section_text")
+    first = rows.groupBy("spl_id", "section_type").agg(F.min(place).alias("f"), F.count("*").alias("n"))
+    return first.select("spl_id", "section_type", F.col("f.id").alias("first_id"), F.col("f.section_text").alias("first_text"), "n")
+
+
 def section_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _texts(spark, sf_dir, "section_id", "loinc_code")
     n = F.length("section_text")
@@ -209,7 +218,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         html_clean, html_plain_text, entities_decoded, section_text_clean, reading_ease, section_keywords, dosage_extract, warnings_list, contraindications,
-        section_routing, clinical_text, section_distribution, section_metrics, missing_sections, date_normalize, date_checks, unit_normalize, quantity_parse,
+        section_routing, clinical_text, section_distribution, first_texts, section_metrics, missing_sections, date_normalize, date_checks, unit_normalize, quantity_parse,
         ucum_expressions, ndc_checks, ndc_extract, ndc_dedup, substance_normalize, ingredient_summary, indications_derived, indications_fallback,
     )
 }
@@ -315,6 +324,9 @@ SELECT id, CAST(unnest(range(0, len(l))) AS INTEGER) AS pos, unnest(l) AS item F
     "section_routing": f"SELECT id, loinc_code, {_TYPE} AS section_type, {_STRATEGY} AS strategy FROM {S}",
     "section_distribution": f"""SELECT coalesce(loinc_code, 'UNKNOWN') AS code, count(*) AS n_sections, count(*) FILTER (length(trim(section_text)) > 0) AS n_with_text,
   count(*) FILTER (parent_section_id IS NOT NULL) AS n_subsections FROM {S} GROUP BY 1""",
+    "first_texts": f"""
+WITH x AS (SELECT *, {_TYPE} AS section_type, (coalesce(section_order, 2147483647), id) AS place FROM {S} WHERE section_text IS NOT NULL)
+SELECT spl_id, section_type, arg_min(id, place) AS first_id, arg_min(section_text, place) AS first_text, count(*) AS n FROM x WHERE section_type IS NOT NULL GROUP BY ALL""",
     "section_metrics": f"""SELECT count(*) AS n_sections, round(avg(length(section_text)), 6) AS avg_length, CAST(max(length(section_text)) AS INTEGER) AS max_length,
   CAST(min(length(section_text)) AS INTEGER) AS min_length, round(avg((CAST(coalesce(section_id, '') <> '' AS INTEGER) + CAST(coalesce(loinc_code, '') <> '' AS INTEGER)
   + CAST(coalesce(length(trim(section_text)), 0) > 10 AS INTEGER)) / 6.0), 6) AS avg_completeness FROM {S}""",

@@ -56,8 +56,8 @@ DOCUMENT = (
 
 def read_xml_dir(spark: SparkSession, path: str, recursive: bool = False, first: int | None = None) -> DataFrame:
     """path, xml: one row per ``*.xml`` file. An empty folder gives no row."""
-    reader = spark.read.option("wholetext", True).option("pathGlobFilter", "*.xml").option("recursiveFileLookup", recursive)
-    out = reader.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("xml"))
+    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.xml", recursiveFileLookup=recursive)
+    out = files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("xml"))
     return out if first is None else out.orderBy("path").limit(first)
 
 

@@ -108,7 +108,7 @@ def test_media_references(one):
 
 
 def test_xml_folder(spark, tmp_path):
-    (tmp_path / "a.xml").write_text(label())
+    (tmp_path / "a.xml").write_text(label().replace("><", ">\n<"))
     (tmp_path / "b.txt").write_text("no")
     (tmp_path / "sub").mkdir()
     (tmp_path / "sub" / "c.xml").write_text(label("c"))
@@ -164,3 +164,27 @@ def test_validation(spark):
     rows = spark.createDataFrame([("invalid-uuid", None, "20241301"), ("11111111-1111-1111-1111-111111111111", "x", "2024")], "spl_id string, t string, d string")
     got = validation.messages(rows, "spl_id", "c", [validation.uuid("spl_id"), validation.required("t"), validation.date_text("d")])
     assert sorted((r.severity, r.field) for r in got.collect()) == [("error", "d"), ("error", "spl_id"), ("error", "t"), ("warning", "d")]
+
+
+def test_pipeline(spark, tmp_path):
+    from labelmill.plans import pipeline
+
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.xml").write_text(label(body=BODY))
+    (src / "b.xml").write_text("<broken")
+    out = pipeline.run(spark, str(src), f"file://{tmp_path}/out")
+    assert tuple(out["report"].first()) == (2, 1, 1, 50.0)
+    assert {k: v.count() for k, v in out.items() if k in ("medications", "ingredients", "spl_sections", "indications", "additional_ndc_codes", "quarantine")} == {
+        "medications": 1, "ingredients": 2, "spl_sections": 6, "indications": 1, "additional_ndc_codes": 2, "quarantine": 1,
+    }
+    with pytest.raises(Exception, match="not a label document"):
+        pipeline.run(spark, str(src), f"file://{tmp_path}/strict", pipeline.Options(strict=True))
+
+
+def test_confidence(spark):
+    from labelmill.plans import pipeline
+
+    df = spark.sql("select array(named_struct('n', 1, 'confidence_score', 0.9D), named_struct('n', 2, 'confidence_score', cast(null as double))) as a")
+    assert [x.n for x in df.select(pipeline.high_confidence("a").alias("v")).first().v] == [1]
+    assert [x.n for x in df.select(pipeline.needs_review("a").alias("v")).first().v] == [2]
