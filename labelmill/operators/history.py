@@ -31,8 +31,8 @@ def merkle_levels(state: DataFrame, keys: Sequence[str], values: Sequence[str])
     Sizes are FANOUT ** level at most, whatever the state's size.
     """
     row = F.xxhash64(*keys, *values).cast("decimal(38,0)")
-    leaves = state.groupBy(_leaf(keys).alias("node")).agg(F.sum(row).alias("h"))
-    levels = [leaves]
+    # Written once: every level above and the descent read these few rows instead of the state.
+    levels = [materialize(state.groupBy(_leaf(keys).alias("node")).agg(F.sum(row).alias("h")))]
     for _ in range(DEPTH - 1):
         levels.insert(0, levels[0].groupBy((F.col("node") / FANOUT).cast("int").alias("node")).agg(F.sum("h").alias("h")))
     return levels
