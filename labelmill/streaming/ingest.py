@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,9 @@ from labelmill.session import materialize, shared_dir
 def upsert_stream(stream: DataFrame, target: str, keys: list[str], order: str, checkpoint: str | None = None) -> None:
     """Takes what has arrived, upserts it by key into the Parquet table ``target`` and stops.
 
-    Every batch rewrites the table into a new version folder and then moves the pointer file, so
-    readers see the old or the new table and a batch that is repeated after a failure gives the
-    same result.
+    Every batch writes the table into a new version folder and then logs it, so readers see the
+    old or the new table, and a batch that is repeated after a failure gives the same result. One
+    stream at a time may write a target.
     """
     spark = stream.sparkSession
     checkpoint = checkpoint or f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
@@ -24,11 +25,8 @@ def upsert_stream(stream: DataFrame, target: str, keys: list[str], order: str, c
     def merge(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         now = current_table(session, target)
-        merged = batch if now is None else upsert(now, batch, keys, order)
-        if now is None:
-            merged = upsert(batch.limit(0), batch, keys, order)
-        version = f"{target}/v{batch_id:08d}-{uuid.uuid4().hex[:8]}"
-        merged.write.parquet(version)
+        version = f"{target}/v{time.time_ns():020d}-{batch_id}"
+        upsert(batch.limit(0) if now is None else now, batch, keys, order).write.parquet(version)
         session.createDataFrame([(version,)], "version string").coalesce(1).write.mode("append").json(f"{target}/_versions_log")
 
     query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
