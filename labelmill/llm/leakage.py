@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from labelmill.llm.tokens import word_hashes
 from labelmill.session import materialize
@@ -175,6 +176,7 @@ def leaks(documents: DataFrame, items: DataFrame, id: str = "doc_id", text: str
 
 def _pass(documents: DataFrame, items: list, id: str, text: str, item_id: str, kinds: tuple, share: float) -> DataFrame:
     spark = documents.sparkSession
+    id_type = to_arrow_type(kinds[0])
     held = spark.sparkContext.broadcast([(i, w) for i, w in items if len(w) >= SHINGLE])
     schema = T.StructType(
         [
@@ -233,7 +235,7 @@ def _pass(documents: DataFrame, items: list, id: str, text: str, item_id: str, k
         none = [None] * len(seen)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(none, pa.from_numpy_dtype(np.int64) if isinstance(kinds[0], T.LongType) else pa.string()), pa.array(none, pa.int32()),
+                pa.array(none, id_type), pa.array(none, pa.int32()),
                 pa.array(none, pa.list_(pa.int32())), pa.array(index.known[seen].view(np.int64)), pa.array(holders[seen]),
             ],
             names=schema.names,

@@ -171,6 +171,8 @@ def test_leaks(spark):
     items = spark.createDataFrame([(1, item), (2, other), (3, None), (4, "a b"), (5, "")], "item_id long, text string")
     got = {(r.item_id, r.doc_id) for r in leakage.leaks(d, items).collect()}
     assert got == {(1, k) for k in (1, 2, 3, 4)}
+    named = d.withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    assert {r.doc_id for r in leakage.leaks(named, items).collect()} == {"d1", "d2", "d3", "d4"}
     assert leakage.leaks(d, items.limit(0)).count() == 0
     assert leakage.leaks(d.limit(0), items).count() == 0
 
