@@ -75,9 +75,8 @@ _SOLVED = T.StructType(
 
 def _double(nodes: DataFrame) -> DataFrame:
     """Pointer doubling by joins over (id, top, hops, above, loop): what no single fragment can hold."""
-    n = nodes.count()
-    rounds = math.ceil(math.log2(n + 1)) + 1
-    for _ in range(rounds):
+    open_before = None
+    while True:
         up = nodes.select(
             F.col("id").alias("above"), F.col("exit_id").alias("_e"), F.col("hops").alias("_h"), F.col("above").alias("_a"), F.col("loop").alias("_l")
         )
@@ -87,14 +86,18 @@ def _double(nodes: DataFrame) -> DataFrame:
             joined.select(
                 "id",
                 F.when(moved, F.col("_e")).otherwise(F.col("exit_id")).alias("exit_id"),
-                F.when(moved, F.when(F.col("_l"), -1).otherwise(F.col("hops") + 1 + F.col("_h"))).otherwise(F.col("hops")).cast("int").alias("hops"),
+                F.when(moved, F.when(F.col("_l"), -1).otherwise(F.least(F.col("hops").cast("long") + 1 + F.col("_h"), F.lit(2**30)))).otherwise(F.col("hops")).cast("int").alias("hops"),
                 F.when(moved, F.col("_a")).otherwise(F.col("above")).alias("above"),
                 (F.col("loop") | (moved & F.coalesce("_l", F.lit(False)))).alias("loop"),
             )
         )
-        if nodes.join(nodes.select(F.col("id").alias("above")), "above", "left_semi").where("not loop").isEmpty():
+        open_now = nodes.where("not loop").join(nodes.select(F.col("id").alias("above")), "above", "left_semi").count()
+        if open_now == 0:
             return nodes
-    # What still has a parent after every possible path length runs in a circle.
+        # A chain has nodes of every depth up to its own, so a round that ends none leaves circles only.
+        if open_now == open_before:
+            break
+        open_before = open_now
     known = nodes.select(F.col("id").alias("above"), F.lit(True).alias("_there"))
     return nodes.join(known, "above", "left").select(
         "id",
