@@ -22,8 +22,8 @@ def with_common_units(
 
     Both are null where number or unit can't be read. See :mod:`labelmill.functions.unitseg`.
     """
-    out = df.withColumn("_q", quantity(F.col(num), F.col(num_unit), F.col(den), F.col(den_unit)))
-    return out.withColumn("quantity_value", F.col("_q.value")).withColumn("quantity_kind", F.col("_q.kind")).drop("_q")
+    out = df.withColumn("_common_quantity", quantity(F.col(num), F.col(num_unit), F.col(den), F.col(den_unit)))
+    return out.withColumn("quantity_value", F.col("_common_quantity.value")).withColumn("quantity_kind", F.col("_common_quantity.kind")).drop("_common_quantity")
 
 
 def equal_but_written_differently(df: DataFrame, key: list[str], id: str, notation: list[str]) -> DataFrame:
@@ -37,13 +37,13 @@ def equal_but_written_differently(df: DataFrame, key: list[str], id: str, notati
     for k in key:
         ready = ready.where(F.col(k).isNotNull())
     ready = ready.withColumn("_class", F.xxhash64(*key, "quantity_kind", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in notation]))
-    classes = ready.groupBy(*key, "quantity_kind", "_class").agg(F.min("quantity_value").alias("v"))
+    classes = ready.groupBy(*key, "quantity_kind", "_class").agg(F.min("quantity_value").alias("_v"))
     width = F.lit(TOLERANCE)
-    classes = classes.withColumn("b", F.when(F.col("v") > 0, F.floor(F.log("v") / width)).otherwise(F.lit(-(2**60))))
-    left = classes.withColumn("b", F.explode(F.array(F.col("b") - 1, F.col("b"), F.col("b") + 1)))
+    classes = classes.withColumn("_b", F.when(F.col("_v") > 0, F.floor(F.log("_v") / width)).otherwise(F.lit(-(2**60))))
+    left = classes.withColumn("_b", F.explode(F.array(F.col("_b") - 1, F.col("_b"), F.col("_b") + 1)))
     a, b = left.alias("a"), classes.alias("b")
-    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in [*key, "quantity_kind", "b"]]
-    close = F.abs(F.col("a.v") - F.col("b.v")) <= width * F.greatest("a.v", "b.v")
+    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in [*key, "quantity_kind", "_b"]]
+    close = F.abs(F.col("a._v") - F.col("b._v")) <= width * F.greatest("a._v", "b._v")
     pairs = a.join(b, on).where((F.col("a._class") < F.col("b._class")) & close).select(
         F.col("a._class").alias("_x"), F.col("b._class").alias("_y")
     )
