@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from labelmill.functions import clinical, indication, text
 from labelmill.functions.ingredient import ingredient_type, normalize_substance
 from labelmill.functions.units import simple_unit
-from labelmill.sources.label_xml import DEPTH, NAMESPACE, SYSTEMS
+from labelmill.session import materialize
+from labelmill.sources.label_xml import DEPTH, NAMESPACE, SYSTEMS, deep_fragments
 
 _BODY = "doc.component.structuredBody.component"
 _INNER = "p.manufacturedProduct.manufacturedProduct"
@@ -83,14 +84,27 @@ def quarantine(parsed: DataFrame) -> DataFrame:
 
 
 def sections(parsed: DataFrame) -> DataFrame:
-    """All sections of all levels: document_id, section_id, path, depth, parent_section_id, codes, title, text, product subjects, media.
+    """Sections of the first ``DEPTH`` levels: document_id, section_id, path, depth, parent_section_id, codes, title, text, media.
 
     Level by level with ``posexplode``; the level below the last unrolled one only sets
-    ``depth_overflow``. Sections without id are dropped with what is below them. The order of
-    paths is the document's order.
+    ``depth_overflow``, see :func:`all_sections`. Sections without id are dropped with what is
+    below them. The order of paths is the document's order.
     """
     level = _labels(parsed).select("document_id", F.posexplode(F.col(_BODY)).alias("i", "c"))
-    level = level.select("document_id", F.array("i").alias("path"), F.lit(None).cast("string").alias("parent_section_id"), F.col("c.section").alias("s"))
+    return _levels(level.select("document_id", F.array("i").alias("path"), F.lit(None).cast("string").alias("parent_section_id"), F.col("c.section").alias("s")))
+
+
+def all_sections(parsed: DataFrame) -> DataFrame:
+    """Sections of all levels, with the columns of :func:`sections`; ``depth_overflow`` is false.
+
+    What lies deeper than the schema is cut out of the text in pieces of ``DEPTH`` levels.
+    """
+    deep = _levels(materialize(deep_fragments(_labels(parsed))))
+    return sections(parsed).unionByName(deep).withColumn("depth_overflow", F.lit(False))
+
+
+def _levels(level: DataFrame) -> DataFrame:
+    """The sections ``s`` and ``DEPTH - 1`` levels below them; a section's depth is that of its path."""
     out = None
     for depth in range(DEPTH):
         level = level.where(F.coalesce(F.col("s.id._root"), F.lit("")) != "")
@@ -109,7 +123,7 @@ def sections(parsed: DataFrame) -> DataFrame:
             lambda m: m["reference_value"].isNotNull(),
         )
         part = level.select(
-            "document_id", F.col("s.id._root").alias("section_id"), "path", F.lit(depth).alias("depth"), "parent_section_id",
+            "document_id", F.col("s.id._root").alias("section_id"), "path", (F.size("path") - 1).alias("depth"), "parent_section_id",
             coded(F.col("s.code")).alias("section_code"), F.col("s.title").alias("title"), xml_text(F.col("s.text")).alias("text_content"),
             F.col("s.effectiveTime._value").alias("effective_time"), F.coalesce(media, F.array()).alias("media"), F.coalesce(deeper, F.lit(False)).alias("depth_overflow"),
         )
@@ -194,7 +208,7 @@ def load_tables(parsed: DataFrame) -> dict[str, DataFrame]:
     """
     docs = documents(parsed).where("success and document_id != 'unknown'")
     found = products(parsed)
-    secs = sections(parsed)
+    secs = all_sections(parsed)
     first = found.groupBy("document_id").agg(F.min(F.struct("path", "product_code", "name", "suffix", "generic_name", "form", "marketing_status", "marketing_low", "approval_type", "approval_id", "routes")).alias("p"))
     day = lambda c: F.try_to_timestamp(F.substring(c, 1, 8), F.lit("yyyyMMdd")).cast("date")
     system = lambda c, s: F.when(c["code_system"] == SYSTEMS[s], c["code"])
@@ -247,7 +261,7 @@ def load_tables(parsed: DataFrame) -> dict[str, DataFrame]:
 
 def section_table(parsed: DataFrame) -> DataFrame:
     """Sections with type, strategy and rewritten text."""
-    secs = sections(parsed)
+    secs = all_sections(parsed)
     code = F.col("section_code.code")
     kind = clinical.section_type(code)
     return secs.withColumn("section_type", kind).withColumn("strategy", clinical.strategy(code)).withColumn(

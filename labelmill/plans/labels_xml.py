@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from labelmill.operators import document as D
 from labelmill.plans.views import I, M, S
 from labelmill.session import materialize
-from labelmill.sources.label_xml import parse, write_labels
+from labelmill.sources.label_xml import parse, section_trees, write_labels
 from labelmill.sources.tables import children, medications
 
 _MED = [
@@ -44,10 +44,16 @@ def xml_ingredients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def xml_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = D.sections(_parsed(spark, sf_dir)).where(F.coalesce(F.col("section_code.code"), F.lit("")).isNotNull() & ~F.col("section_id").endswith("-product"))
+    rows = D.all_sections(_parsed(spark, sf_dir)).where(F.coalesce(F.col("section_code.code"), F.lit("")).isNotNull() & ~F.col("section_id").endswith("-product"))
     return rows.select("document_id", "section_id", "depth", "parent_section_id", F.col("section_code.code").alias("loinc_code"), "title", "text_content")
 
 
+def xml_section_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sections whose parent link closes a circle; in the documents they stand at the top."""
+    trees = section_trees(children(spark, sf_dir, "spl_sections", _SEC))
+    return trees.select(F.col("spl_id").alias("document_id"), F.explode("cut").alias("section_id"))
+
+
 def xml_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of each table loaded from the documents."""
     out = None
@@ -65,7 +71,7 @@ def xml_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.quarantine(rows).select("spl_id")
 
 
-QUERIES = {f.__name__: f for f in (label_xml, xml_documents, xml_products, xml_ingredients, xml_sections, xml_load, xml_quarantine)}
+QUERIES = {f.__name__: f for f in (label_xml, xml_documents, xml_products, xml_ingredients, xml_sections, xml_section_cycles, xml_load, xml_quarantine)}
 
 _SP = r"[\s\x{00A0}\x{2000}-\x{200A}\x{202F}\x{3000}\x{0085}\x{1680}\x{2028}\x{2029}\x{205F}]+"
 _FLAT = rf"trim(regexp_replace(regexp_replace(regexp_replace(section_text, '<item(\s[^<>]*)?>', ' • ', 'g'), '</?[A-Za-z][^<>]*>', ' ', 'g'), '{_SP}', ' ', 'g'))"

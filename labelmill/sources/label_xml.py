@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import html
 import io
+import re
 import zipfile
 from collections.abc import Iterator
 
@@ -11,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Section levels unrolled in the schema; a document that is deeper is flagged, not cut silently.
+#: Section levels unrolled in the schema; deeper ones are cut out of the text by ``deep_fragments`` and parsed with the same schema.
 DEPTH = 6
 NAMESPACE = "urn:hl7-org:v3"
 # Identifiers of code systems.
@@ -102,6 +104,79 @@ def parse(df: DataFrame, xml: str = "xml") -> DataFrame:
     return df.withColumn("doc", F.from_xml(F.col(xml), DOCUMENT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
 
 
+_TOKEN = re.compile(r"""<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<(/?)([\w:.-]+)((?:[^>"']|"[^"]*"|'[^']*')*?)(/?)>""", re.S)
+_ROOT = re.compile(r"""\sroot\s*=\s*(?:"([^"]*)"|'([^']*)')""")
+
+
+def fragments(xml: str, depth: int = DEPTH) -> list[tuple[list[int], str, str]]:
+    """(path, id of the section above, text) of the sections whose depth is a multiple of ``depth`` above 0, in one scan.
+
+    A text ends where the next multiple begins: the texts don't overlap and none has more than
+    ``depth`` levels. Sections below one without an id are left out. ``xml`` must be well-formed.
+    """
+    # An open element: [name, is it on the way body/component/section/..., place in the list of components,
+    # components so far, section id, section depth, parts of its fragment].
+    stack: list[list] = [["", False, -1, -1, None, -1, None]]
+    out: list[tuple[list[int], str, str]] = []
+    writing: list[list[str]] = []  # open fragments, the innermost last
+    last = 0
+    for m in _TOKEN.finditer(xml):
+        name = (m.group(2) or "").lower()
+        if not name:
+            continue
+        if not m.group(1):
+            up = stack[-1]
+            on = name == "structuredbody" or (up[1] and (name == "component" and up[0] != "component" or name == "section" and up[0] == "component"))
+            here = [name, on, -1, -1, None, up[5], None]
+            if on and name == "component":
+                up[3] += 1
+                here[2] = up[3]
+            elif on and name == "section":
+                here[5] += 1
+                if here[5] and here[5] % depth == 0:
+                    if writing:
+                        writing[-1].append(xml[last : m.start()])
+                    last = m.start()
+                    writing.append([])
+                    above = [e for e in stack if e[0] == "section" and e[1]]
+                    if all(e[4] for e in above):
+                        here[6] = ([e[2] for e in stack if e[0] == "component" and e[1]], above[-1][4])
+            elif name == "id" and up[0] == "section" and up[1]:
+                found = _ROOT.search(m.group(3))
+                up[4] = html.unescape(found.group(1) or found.group(2) or "") if found else None
+            if not m.group(4):
+                stack.append(here)
+                continue
+        else:
+            here = stack.pop()
+        if here[1] and here[0] == "section" and here[5] and here[5] % depth == 0:
+            text = "".join([*writing.pop(), xml[last : m.end()]])
+            last = m.end()
+            if here[6]:
+                out.append((*here[6], text))
+    return out
+
+
+def deep_fragments(labels: DataFrame) -> DataFrame:
+    """document_id, path, parent_section_id, s: the sections at every ``DEPTH``-th level of (document_id, xml), parsed.
+
+    Spark gives what lies below its schema as text without entities, which can't be parsed again;
+    so the sections are cut out of the document's own text.
+    """
+    schema = "document_id string, path array<int>, parent_section_id string, x string"
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [(i, *f) for i, xml in zip(pdf["document_id"], pdf["xml"], strict=True) for f in fragments(xml)]
+            yield pd.DataFrame(rows, columns=["document_id", "path", "parent_section_id", "x"])
+
+    # A label with fewer sections than levels has none that deep.
+    many = F.length("xml") - F.length(F.replace("xml", F.lit("<section"), F.lit(""))) > F.lit(DEPTH * len("<section"))
+    found = labels.where(many).select("document_id", "xml").mapInPandas(cut, schema)
+    parsed = F.from_xml(F.concat(F.lit("<component>"), F.col("x"), F.lit("</component>")), f"section {_section(DEPTH - 1)}")
+    return found.select("document_id", "path", "parent_section_id", parsed.alias("c")).select("document_id", "path", "parent_section_id", F.col("c.section").alias("s"))
+
+
 def escape(c: Column) -> Column:
     """Text as XML content; null gives ''. Signs that XML doesn't allow become blanks."""
     c = F.regexp_replace(F.coalesce(c, F.lit("")), r"[\x00-\x08\x0B\x0C\x0E-\x1F]", " ")
@@ -118,10 +193,72 @@ def tag(name: str, *attributes: tuple[str, Column], body: Column | None = None)
     return F.concat(*parts, F.lit(">"), F.coalesce(body, F.lit("")) if body is not None else F.lit(""), F.lit(f"</{name}>"))
 
 
+def preorder(ids: list[str], parents: list[str | None]) -> tuple[list[int], list[int], list[int]]:
+    """Of the rows of a forest in sibling order: the rows from the top down, the sections that end after each, the rows cut from a circle.
+
+    A row whose parent is none of the ids is a root. A circle is cut above its first row, which
+    becomes a root, so every row is there once.
+    """
+    place: dict[str, int] = {}
+    for k, i in enumerate(ids):
+        place.setdefault(i, k)
+    up = [-1 if p is None else place.get(p, -1) for p in parents]
+    seen, cut = [0] * len(ids), []
+    for k in range(len(ids)):
+        at, way = k, []
+        while at >= 0 and not seen[at]:
+            seen[at] = k + 1
+            way.append(at)
+            at = up[at]
+        if at >= 0 and seen[at] == k + 1:
+            first = min(way[way.index(at) :])
+            up[first] = -1
+            cut.append(first)
+    below: list[list[int]] = [[] for _ in ids]
+    for k, p in enumerate(up):
+        if p >= 0:
+            below[p].append(k)
+    order, depths = [], []
+    todo = [(k, 0) for k in reversed(range(len(ids))) if up[k] < 0]
+    while todo:
+        k, d = todo.pop()
+        order.append(k)
+        depths.append(d)
+        todo += [(c, d + 1) for c in reversed(below[k])]
+    return order, [d - e + 1 for d, e in zip(depths, [*depths[1:], 0], strict=True)] if order else [], sorted(cut)
+
+
+def section_trees(sections: DataFrame) -> DataFrame:
+    """spl_id, tops, cut: a label's sections of all depths as nested XML, and the ids of those whose parent link closes a circle.
+
+    Siblings are ordered by section_order, then id. A section whose parent is null, no section's
+    id or in another label is a root; a section in ``cut`` is written as a root too. Only ids go
+    through Python; the texts are put together by expressions.
+    """
+
+    @F.pandas_udf("order array<int>, ends array<int>, cut array<int>")
+    def plan(ids: pd.Series, parents: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([preorder(list(i), list(p)) for i, p in zip(ids, parents, strict=True)], columns=["order", "ends", "cut"])
+
+    head = F.concat(
+        F.lit("<component><section>"),
+        tag("id", ("root", F.col("id"))),
+        F.when(F.col("loinc_code").isNotNull(), tag("code", ("code", F.col("loinc_code")), ("codeSystem", F.lit(SYSTEMS["loinc"])))).otherwise(F.lit("")),
+        F.when(F.col("section_title").isNotNull(), tag("title", body=escape(F.col("section_title")))).otherwise(F.lit("")),
+        F.when(F.col("section_text").isNotNull(), tag("text", body=escape(F.col("section_text")))).otherwise(F.lit("")),
+        tag("effectiveTime", ("value", F.date_format("effective_time", "yyyyMMdd"))),
+    )
+    row = F.struct(F.coalesce("section_order", F.lit(2**31 - 1)).alias("o"), "id", F.col("parent_section_id").alias("parent"), head.alias("x"))
+    rows = sections.groupBy("spl_id").agg(F.array_sort(F.collect_list(row)).alias("r"))
+    rows = rows.withColumn("p", plan(F.col("r.id"), F.col("r.parent")))
+    parts = F.zip_with("p.order", "p.ends", lambda k, n: F.concat(F.get(F.col("r"), k)["x"], F.repeat(F.lit("</section></component>"), n)))
+    return rows.select("spl_id", F.array_join(parts, "").alias("tops"), F.transform("p.cut", lambda k: F.get(F.col("r"), k)["id"]).alias("cut"))
+
+
 def write_labels(meds: DataFrame, ingredients: DataFrame, sections: DataFrame) -> DataFrame:
-    """spl_id, xml: a label document per medication, with its ingredients and two levels of sections.
+    """spl_id, xml: a label document per medication, with its ingredients and its sections of all depths.
 
-    Children are ordered and joined per label before the label is written.
+    Children are ordered and joined per label before the label is written; see :func:`section_trees`.
     """
     code = lambda c, system: [("code", c), ("codeSystem", F.lit(SYSTEMS[system]))]
     one = tag(
@@ -144,25 +281,7 @@ def write_labels(meds: DataFrame, ingredients: DataFrame, sections: DataFrame) -
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "x"))), lambda r: r["x"]), "").alias("drugs")
     )
 
-    def section(inner: Column) -> Column:
-        return tag("component", body=tag("section", body=F.concat(
-            tag("id", ("root", F.col("id"))),
-            F.when(F.col("loinc_code").isNotNull(), tag("code", *code(F.col("loinc_code"), "loinc"))).otherwise(F.lit("")),
-            F.when(F.col("section_title").isNotNull(), tag("title", body=escape(F.col("section_title")))).otherwise(F.lit("")),
-            F.when(F.col("section_text").isNotNull(), tag("text", body=escape(F.col("section_text")))).otherwise(F.lit("")),
-            tag("effectiveTime", ("value", F.date_format("effective_time", "yyyyMMdd"))),
-            inner,
-        )))
-
-    order = F.coalesce("section_order", F.lit(2**31 - 1)).alias("o")
-    joined = lambda: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "id", "x"))), lambda r: r["x"]), "")
-    roots = sections.where("parent_section_id is null")
-    leaves = sections.where("parent_section_id is not null").select(
-        "spl_id", F.col("parent_section_id").alias("parent"), order, "id", section(F.lit("")).alias("x")
-    )
-    leaves = leaves.groupBy("spl_id", "parent").agg(joined().alias("inner")).withColumnRenamed("parent", "id")
-    tops = roots.join(leaves, ["spl_id", "id"], "left").select("spl_id", order, "id", section(F.coalesce("inner", F.lit(""))).alias("x"))
-    tops = tops.groupBy("spl_id").agg(joined().alias("tops"))
+    tops = section_trees(sections).drop("cut")
     product = tag("component", body=tag("section", body=F.concat(
         tag("id", ("root", F.concat(F.col("spl_id"), F.lit("-product")))),
         tag("code", *code(F.lit("48780-1"), "loinc")),

@@ -188,3 +188,40 @@ def test_confidence(spark):
     df = spark.sql("select array(named_struct('n', 1, 'confidence_score', 0.9D), named_struct('n', 2, 'confidence_score', cast(null as double))) as a")
     assert [x.n for x in df.select(pipeline.high_confidence("a").alias("v")).first().v] == [1]
     assert [x.n for x in df.select(pipeline.needs_review("a").alias("v")).first().v] == [2]
+
+
+def test_sections_of_all_depths(spark):
+    """Deeper than the schema, with entities, comments and media on the way; below a section without id there is nothing."""
+    deep = ""
+    for k in reversed(range(20)):
+        deep = MEDIA + section(f"d{k}", "42229-5", deep, text=f"<paragraph>a &lt;{k} &amp;amp;</paragraph><!-- <section> -->", title=f"&quot;{k}&gt;")
+    lost = nest(15).replace('<id root="s3"/>', "")
+    got = D.all_sections(parse(spark.createDataFrame([(label("a", deep + section("z", "42229-5")),), (label("b", lost),)], "xml string"))).collect()
+    rows = {r.section_id: r for r in got if r.document_id == "a"}
+    assert {k: (r.depth, r.parent_section_id, list(r.path)) for k, r in rows.items()} == {
+        **{f"d{k}": (k, f"d{k - 1}" if k else None, [1] * (k + 1)) for k in range(20)}, "z": (0, None, [2]),
+    }
+    assert all(rows[f"d{k}"].text_content == f"a <{k} &amp;" and rows[f"d{k}"].title == f'"{k}>' for k in range(20))
+    assert all(len(rows[f"d{k}"].media) == (k < 19) for k in range(20)) and not any(r.depth_overflow for r in got)
+    assert sorted(r.section_id for r in got if r.document_id == "b") == ["s0", "s1", "s2"]
+
+
+def test_written_sections_come_back(spark):
+    """All depths; parents that are missing or in another label make roots; a circle is cut once and reported."""
+    from labelmill.sources.label_xml import section_trees, write_labels
+
+    parent = {f"c{k}": f"c{k - 1}" if k else None for k in range(45)} | {"o": "nowhere", "p": "o", "x": "other"}
+    parent |= {"l1": "l3", "l2": "l1", "l3": "l2", "tail": "l2", "self": "self"}
+    rows = [(i, "a", p) for i, p in parent.items()] + [("other", "b", None)]
+    secs = spark.createDataFrame(rows, "id string, spl_id string, parent_section_id string").selectExpr(
+        "*", "'34067-9' loinc_code", "concat('<', id) section_title", "concat('a &lt; ', id) section_text", "1 section_order", "date'2020-01-02' effective_time",
+    )
+    meds = spark.sql("""select spl_id, 'set' set_id, 1 version_number, date'2020-01-01' effective_date, 'B' brand_name, 'G' generic_name, 'M' manufacturer, '1' ndc_code,
+        'T' product_form, 'active' marketing_status, date'2020-01-01' marketing_date_start, '34391-3' document_code from values ('a'), ('b') t(spl_id)""")
+    drugs = spark.sql("""select '1' id, 'a' spl_id, 'active' ingredient_type, 'S' substance_name, 'U' unii_code, 1.0 strength_numerator, 'mg' strength_numerator_unit,
+        1.0 strength_denominator, '1' strength_denominator_unit""")
+    found = D.all_sections(parse(write_labels(meds, drugs, secs).select("xml"))).where("not section_id like '%-product'").collect()
+    want = parent | {"o": None, "x": None, "l1": None, "self": None, "other": None}
+    assert {r.section_id: r.parent_section_id for r in found} == want and len(found) == len(want)
+    assert max(r.depth for r in found) == 44
+    assert {r.spl_id: list(r.cut) for r in section_trees(secs).collect()} == {"a": ["l1", "self"], "b": []}
