@@ -19,6 +19,8 @@ from labelmill.session import materialize
 
 #: Children of an inner node and levels below the root: 16 ** 3 = 4096 leaves.
 FANOUT, DEPTH = 16, 3
+#: Time of deliveries without one.
+_FIRST = "1900-01-01"
 
 
 def _leaf(keys: Sequence[str]) -> Column:
@@ -55,6 +57,54 @@ def differing_leaves(old: list[DataFrame], new: list[DataFrame]) -> DataFrame:
     return branches
 
 
+def delivered_history(rows: DataFrame, keys: Sequence[str], values: Sequence[str], delivered: str, cuts: int = 3) -> DataFrame:
+    """All delivered states of a table of deliveries: keys, values, recorded_at, delivered_at, is_current.
+
+    Snapshots are compared as in :func:`snapshot_history`. A side's leaves hash the distinct states
+    of the period, so a leaf differs too if a state was delivered and replaced, or taken back,
+    between two cuts; in the differing leaves every delivery of the period that changes its key's
+    values becomes a version, in order of time. Ties go to the larger values, which come last.
+    delivered_at is null for rows without a delivery time, which count as delivered first.
+    """
+    columns = [*keys, *values]
+    rows = materialize(_timed(rows, keys, delivered).select(*columns, "_at"))
+    by_key = Window.partitionBy(*keys).orderBy("_at", F.struct(*values))
+    history, before = None, None
+    for name, point in _points(rows, cuts):
+        part = rows if before is None else rows.where(F.unix_micros("_at") > F.lit(before))
+        part = part if point is None else part.where(F.unix_micros("_at") <= F.lit(point))
+        before = point
+        if history is None:
+            there = None
+            here = part
+        else:
+            current = history.where("is_current").select(*columns)
+            # What the period doesn't touch stays: both sides have the touched keys' states only.
+            touched = current.join(part.select(*keys).distinct(), [*keys], "left_semi")
+            states = materialize(part.select(*columns).distinct())
+            leaves = F.broadcast(differing_leaves(merkle_levels(touched, keys, values), merkle_levels(states, keys, values)))
+            there = touched.withColumn("node", _leaf(keys)).join(leaves, "node", "left_semi").drop("node")
+            here = part.withColumn("node", _leaf(keys)).join(leaves, "node", "left_semi").drop("node")
+        here = here.withColumn("_new", F.lit(True))
+        if there is not None:
+            # The state before the period stands before all its deliveries.
+            here = here.unionByName(there.select(*columns, F.lit("0001-01-01").cast("timestamp").alias("_at"), F.lit(False).alias("_new")))
+        state = F.struct(*values)
+        marked = here.withColumn("_before", F.lag(state).over(by_key)).where(F.col("_new") & ~state.eqNullSafe(F.col("_before")))
+        last = F.lead(F.lit(True)).over(by_key).isNull()
+        fresh = marked.withColumn("is_current", last).select(
+            *columns, F.lit(name).alias("recorded_at"), F.nullif("_at", F.lit(_FIRST).cast("timestamp")).alias("delivered_at"), "is_current"
+        )
+        fresh = materialize(fresh)
+        if history is None:
+            history = fresh
+            continue
+        replaced = fresh.where("is_current").select(*keys).withColumn("_replaced", F.lit(True))
+        kept = history.join(replaced, [*keys], "left").withColumn("is_current", F.col("is_current") & F.col("_replaced").isNull()).drop("_replaced")
+        history = materialize(kept.unionByName(fresh))
+    return history
+
+
 def snapshot_history(snapshots: Sequence[tuple[str, DataFrame]], keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """All recorded versions: keys, values, recorded_at (a snapshot's name), is_current.
 
@@ -107,14 +157,24 @@ def delivered_snapshots(rows: DataFrame, keys: Sequence[str], values: Sequence[s
     In a state the latest delivery of a key counts; ties go to the larger values. Rows without a
     delivery time count as delivered first.
     """
-    at = F.coalesce(F.col(delivered).cast("timestamp"), F.lit("1900-01-01").cast("timestamp"))
-    rows = rows.where(reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])).withColumn("_at", at)
-    points = rows.agg(
-        F.percentile_approx(F.unix_micros("_at"), [(i + 1) / (cuts + 1) for i in range(cuts)]).alias("p")
-    ).first()["p"] or []  # a bounded list: one number per cut
+    rows = _timed(rows, keys, delivered)
     out = []
-    for k, p in enumerate([*dict.fromkeys(points), None]):
+    for name, p in _points(rows, cuts):
         part = rows if p is None else rows.where(F.unix_micros("_at") <= F.lit(p))
         latest = part.groupBy(*keys).agg(F.max(F.struct("_at", *values)).alias("_r"))
-        out.append((f"s{k}", latest.select(*keys, *[F.col(f"_r.{v}").alias(v) for v in values])))
+        out.append((name, latest.select(*keys, *[F.col(f"_r.{v}").alias(v) for v in values])))
     return out
+
+
+def _timed(rows: DataFrame, keys: Sequence[str], delivered: str) -> DataFrame:
+    """Rows whose keys aren't null, with ``_at``."""
+    at = F.coalesce(F.col(delivered).cast("timestamp"), F.lit(_FIRST).cast("timestamp"))
+    return rows.where(reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])).withColumn("_at", at)
+
+
+def _points(rows: DataFrame, cuts: int) -> list[tuple[str, int | None]]:
+    """(name, microseconds) of the snapshots, the last being the end."""
+    points = rows.agg(
+        F.percentile_approx(F.unix_micros("_at"), [(i + 1) / (cuts + 1) for i in range(cuts)]).alias("p")
+    ).first()["p"] or []  # a bounded list: one number per cut
+    return [(f"s{k}", p) for k, p in enumerate([*dict.fromkeys(points), None])]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelmill.operators import hierarchy as H
-from labelmill.operators.history import delivered_snapshots, periods_in_force, snapshot_history
+from labelmill.operators.history import delivered_history, delivered_snapshots, periods_in_force, snapshot_history
 from labelmill.operators.nested import RECORD_LISTS, nested_records, record_table
 from labelmill.operators.strength import equal_but_written_differently, with_common_units
 from labelmill.sources.tables import children, medications, read
@@ -67,15 +67,20 @@ def p5_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
 ATTRIBUTES = ["effective_date", "spl_id", "brand_name", "generic_name", "manufacturer", "labeler", "marketing_status"]
 
 
+VERSION = ["set_id", "version_number"]
+
+
+def _deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "medications").select(*VERSION, "updated_at", *ATTRIBUTES)
+
+
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read(spark, sf_dir, "medications").select("set_id", "version_number", "updated_at", *ATTRIBUTES)
-    keys = ["set_id", "version_number"]
-    return snapshot_history(delivered_snapshots(rows, keys, ATTRIBUTES, "updated_at"), keys, ATTRIBUTES)
+    return snapshot_history(delivered_snapshots(_deliveries(spark, sf_dir), VERSION, ATTRIBUTES, "updated_at"), VERSION, ATTRIBUTES)
 
 
 def p6_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every recorded state of every version; the current ones with their period in force."""
-    history = _history(spark, sf_dir)
+    """Every delivered state of every version; the current ones with their period in force."""
+    history = delivered_history(_deliveries(spark, sf_dir), VERSION, ATTRIBUTES, "updated_at")
     now = periods_in_force(history.where("is_current"), "set_id", "version_number", "effective_date")
     period = now.select("set_id", "version_number", "valid_from", "valid_to", F.lit(True).alias("is_current"))
     return history.join(period, ["set_id", "version_number", "is_current"], "left")

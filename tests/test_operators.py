@@ -177,3 +177,18 @@ def test_metrics_of_empty_tables(spark):
     assert tuple(metrics.catalog_stats(empty, "size", "at").first()) == (0, 0, None)
     assert metrics.batch_stats(empty, "ok", "s").first().success_rate == 0.0
     assert metrics.top_errors(empty, "e").count() == 0
+
+
+def test_every_delivered_state_is_a_version(spark):
+    """Also one that is corrected, or taken back, between two cuts."""
+    rows = [(f"k{i}", 1, "x", f"2020-01-{i % 28 + 1:02d} 00:00:00") for i in range(56)]
+    rows += [("a", 1, v, f"2020-01-15 00:00:{s:02d}") for s, v in enumerate(["A", "B", "B", "A", None, "C"])]
+    rows += [("b", 1, "A", "2020-01-01 00:00:00"), ("b", 1, "B", "2020-01-27 00:00:00"), ("b", 1, "A", "2020-01-28 00:00:00")]
+    rows += [("c", 1, "late", "2020-01-20 00:00:00"), ("c", 1, "first", None), (None, 1, "no", "2020-01-01 00:00:00")]
+    df = spark.createDataFrame(rows, "k string, v int, d string, at string")
+    got = history.delivered_history(df, ["k", "v"], ["d"], "at").orderBy("k", F.col("delivered_at").asc_nulls_first()).collect()
+    seen = lambda k: [(r.d, r.is_current) for r in got if r.k == k]
+    assert seen("a") == [("A", False), ("B", False), ("A", False), (None, False), ("C", True)]
+    assert seen("b") == [("A", False), ("B", False), ("A", True)]
+    assert seen("c") == [("first", False), ("late", True)]
+    assert all(seen(f"k{i}") == [("x", True)] for i in range(56)) and len(got) == 66
