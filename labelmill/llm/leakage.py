@@ -5,12 +5,14 @@ the parts: every run of ``WINDOW`` words of an item and of a document gets a 64-
 its words. The 64 bits are cut into ``RADIUS + 1`` blocks; windows within ``RADIUS`` bits agree in
 a block entirely, so the block tables find them all. Documents that collide with an item are
 verified by the weighted shingles they share with it in order, in at most two stretches;
-a shingle weighs less the more documents hold it.
+a shingle weighs less the more documents hold it. The documents that hold it within a passage of
+the item count by how many different passages they are, so copies of a leak don't weaken it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,8 @@ WINDOW, RADIUS = 8, 3
 SHINGLE, SHARE = 3, 0.4
 #: Words between two shared shingles that end a stretch.
 GAP = 12
+#: Words on either side of a shingle, within its stretch, that tell passages apart.
+AROUND = 6
 #: Items per pass over the corpus: what a task holds of the items is bounded, more items take more passes.
 ITEMS_PER_PASS = 2_000
 _MARKUP = r"<[^<>]*>|&[a-z]+;|&#\d+;"
@@ -66,6 +70,10 @@ def shingles(words: np.ndarray, width: int) -> np.ndarray:
     return code
 
 
+def _print(words: np.ndarray) -> int:
+    return int.from_bytes(blake2b(words.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
 class Index:
     """Block tables of the items' windows, and their shingles."""
 
@@ -120,14 +128,19 @@ def shared_in_order(document: np.ndarray, item: np.ndarray, gap: int = GAP) -> n
     A stretch is a run of shared shingles with at most ``gap`` words between neighbours, whose
     places in the item rise; a place that falls or leaps by more than ``gap`` begins another.
     """
+    return np.array(sorted(_held(document, item, gap)), np.int64)
+
+
+def _held(document: np.ndarray, item: np.ndarray, gap: int = GAP) -> dict[int, tuple[int, int, int]]:
+    """Per position of :func:`shared_in_order` its place in the document and the first and last place of its stretch."""
     order = np.argsort(item, kind="stable")
     ranked = item[order]
     lo = np.searchsorted(ranked, document)
     lo[lo == len(ranked)] = 0
     at = np.flatnonzero(ranked[lo] == document)
     if not len(at):
-        return at
-    chains: list[list[int]] = []  # places in the item, in order
+        return {}
+    chains: list[dict[int, int]] = []  # places in the item, in order, and in the document
     ends: list[tuple[int, int]] = []  # last place in the document and in the item
     for d in at.tolist():
         k = int(lo[d])
@@ -144,15 +157,19 @@ def shared_in_order(document: np.ndarray, item: np.ndarray, gap: int = GAP) -> n
                     if best is None or cost < best[0]:
                         best = (cost, c, i)
         if best:
-            chains[best[1]].append(best[2])
+            chains[best[1]][best[2]] = d
             ends[best[1]] = (d, best[2])
         else:
-            chains.append([options[0]])
+            chains.append({options[0]: d})
             ends.append((d, options[0]))
     chains.sort(key=len, reverse=True)
     first = set(chains[0])
-    second = max((set(c) - first for c in chains[1:]), key=len, default=set())
-    return np.array(sorted(first | second), np.int64)
+    second = max(chains[1:], key=lambda c: len(set(c) - first), default={})
+    out = {}
+    for chain in (second, chains[0]):
+        begin, end = min(chain.values(), default=0), max(chain.values(), default=0)
+        out |= {i: (d, begin, end) for i, d in chain.items()}
+    return out
 
 
 def leaks(documents: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", share: float = SHARE) -> DataFrame:
@@ -183,6 +200,7 @@ def _pass(documents: DataFrame, items: list, id: str, text: str, item_id: str, k
             T.StructField(id, kinds[0]),
             T.StructField("item", T.IntegerType()),
             T.StructField("places", T.ArrayType(T.IntegerType())),
+            T.StructField("around", T.ArrayType(T.LongType())),
             T.StructField("code", T.LongType()),
             T.StructField("n", T.LongType()),
         ]
@@ -196,7 +214,7 @@ def _pass(documents: DataFrame, items: list, id: str, text: str, item_id: str, k
             offsets = lists.offsets.to_numpy()
             flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             offsets = offsets - offsets[0]
-            docs, who, places = [], [], []
+            docs, who, places, around = [], [], [], []
             # Shingles and windows of the whole batch at once; those across two documents are dropped.
             text_of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
             codes = shingles(flat, SHINGLE)
@@ -222,12 +240,14 @@ def _pass(documents: DataFrame, items: list, id: str, text: str, item_id: str, k
             docs, who = [d for d, _ in done], [i for _, i in done]
             for d, i in done:
                 words = flat[offsets[d] : offsets[d + 1]]
-                places.append(shared_in_order(shingles(words, SHINGLE), index.shingles[i]).tolist())
+                held_at = sorted(_held(shingles(words, SHINGLE), index.shingles[i]).items())
+                places.append([p for p, _ in held_at])
+                around.append([_print(words[max(a, d - AROUND) : min(z, d + AROUND) + SHINGLE]) for _, (d, a, z) in held_at])
             none = [None] * len(docs)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(docs, pa.int64())), pa.array(who, pa.int32()), pa.array(places, pa.list_(pa.int32())),
-                    pa.array(none, pa.int64()), pa.array(none, pa.int64()),
+                    pa.array(around, pa.list_(pa.int64())), pa.array(none, pa.int64()), pa.array(none, pa.int64()),
                 ],
                 names=schema.names,
             )
@@ -236,7 +256,7 @@ def _pass(documents: DataFrame, items: list, id: str, text: str, item_id: str, k
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(none, id_type), pa.array(none, pa.int32()),
-                pa.array(none, pa.list_(pa.int32())), pa.array(index.known[seen].view(np.int64)), pa.array(holders[seen]),
+                pa.array(none, pa.list_(pa.int32())), pa.array(none, pa.list_(pa.int64())), pa.array(index.known[seen].view(np.int64)), pa.array(holders[seen]),
             ],
             names=schema.names,
         )
@@ -244,9 +264,18 @@ def _pass(documents: DataFrame, items: list, id: str, text: str, item_id: str, k
     met = materialize(documents.select(id, word_hashes(clean(F.col(text))).alias("w")).mapInArrow(run, schema))
     # How many documents hold each shingle of the items: as many rows as the items of a pass have shingles.
     holders = {r.code: r.n for r in met.where("code is not null").groupBy("code").agg(F.sum("n").alias("n")).toLocalIterator()}
+    # Of the documents that hold a place within a passage of the item: how many, and how many different passages they
+    # are, by size ((sum n)^2 / sum n^2): copies are one, and so are near-copies as long as few change the same words.
+    pairs = met.where("item is not null").select("item", F.inline(F.arrays_zip("places", "around")))
+    kinds_of = pairs.groupBy("item", "places", "around").agg(F.count("*").cast("double").alias("n"))
+    kinds_of = kinds_of.groupBy("item", "places").agg(F.sum("n").alias("n"), (F.sum("n") ** 2 / F.sum(F.col("n") ** 2)).alias("passages"))
+    inside = {(r.item, r.places): (r.n, r.passages) for r in kinds_of.toLocalIterator()}  # a row per place of the items at most
     rows = []
     for k, (i, w) in enumerate([(i, w) for i, w in items if len(w) >= SHINGLE]):
-        weights = [1 / np.log2(2 + holders.get(int(c), 0)) for c in shingles(w, SHINGLE).view(np.int64)]
+        weights = []
+        for place, c in enumerate(shingles(w, SHINGLE).view(np.int64)):
+            n, passages = inside.get((k, place), (0, 0))
+            weights.append(1 / np.log2(2 + max(0, holders.get(int(c), 0) - n) + passages))
         rows.append((k, i, [float(x) for x in weights], float(sum(weights))))
     weighed = spark.createDataFrame(
         rows, T.StructType([T.StructField("item", T.IntegerType()), T.StructField(item_id, kinds[1]), T.StructField("weights", T.ArrayType(T.DoubleType())), T.StructField("total", T.DoubleType())])
