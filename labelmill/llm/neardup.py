@@ -131,7 +131,8 @@ def members(df: DataFrame, id: str, text: str, group: list[str], order: str | No
                 yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(_classes(code, starts, tags).view(np.int64))], names=schema.names)
 
     out = _hashed(df, text, group, keep).mapInArrow(run, schema)
-    return out.groupBy(*group, id).agg((F.max_by("cls", order) if order else F.max("cls")).alias("cls"))
+    # A struct, so that a row without order values keeps its class: nulls come first.
+    return out.groupBy(*group, id).agg(F.max(F.struct(*([order] if order else []), "cls"))["cls"].alias("cls"))
 
 
 def _most_bits(threshold: float) -> int:

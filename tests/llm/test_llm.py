@@ -257,3 +257,10 @@ def test_copies_of_a_leak_do_not_weaken_it(spark, change):
     got = leakage.leaks(spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame([(1, " ".join(item)), (2, " ".join(form))], "item_id int, text string"))
     found = {(r.item_id, r.doc_id) for r in got.collect()}
     assert found == {(1, n) for n in range(300)}
+
+
+def test_class_of_a_row_without_delivery_time(spark):
+    rows = [("1", "one two three four five six", None, "g"), ("2", "one two three four five six", 1, "g"), ("2", "seven eight nine ten eleven twelve", None, "g")]
+    df = spark.createDataFrame(rows, "id string, text string, at int, g string")
+    got = {r.id: r.cls for r in neardup.members(df, id="id", text="text", group=["g"], width=3, order="at").collect()}
+    assert got["1"] is not None and got["1"] == got["2"]
