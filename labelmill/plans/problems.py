@@ -7,24 +7,22 @@ from pyspark.sql import functions as F
 
 from labelmill.operators import hierarchy as H
 from labelmill.operators.history import delivered_history, delivered_snapshots, periods_in_force, snapshot_history
-from labelmill.operators.nested import RECORD_LISTS, nested_records, record_table
+from labelmill.operators.nested import RECORD_LISTS, TABLES, nested_projection, nested_records, record_table
 from labelmill.operators.strength import equal_but_written_differently, with_common_units
 from labelmill.sources.tables import children, medications, read
 
 STRENGTH = ["strength_numerator", "strength_numerator_unit", "strength_denominator", "strength_denominator_unit"]
 
 
-def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested_records(medications(spark, sf_dir, ["additional_data"]), "spl_id", "additional_data")
-
-
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _records(spark, sf_dir).select("spl_id", "node_path", "parent_path")
+    records = nested_records(medications(spark, sf_dir, ["additional_data"]), "spl_id", "additional_data")
+    return records.select("spl_id", "node_path", "parent_path")
 
 
 def _p1_table(record: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return record_table(_records(spark, sf_dir), "spl_id", record)
+        rounds = nested_projection(medications(spark, sf_dir, ["additional_data"]), "spl_id", "additional_data")
+        return record_table(rounds, "spl_id", record)
 
     return query
 
@@ -112,7 +110,43 @@ _LATEST_SECTIONS = """
     SELECT id, arg_max(parent_section_id, created_at) AS parent FROM
     (SELECT id, created_at, coalesce(parent_section_id, '') AS parent_section_id FROM spl_sections) GROUP BY id"""
 
+_AMONG = ", ".join(f"'{r}'" for r in RECORD_LISTS)
+_HERE = "CASE WHEN r.listed AND r.pos IS NULL THEN r.path || '[0]' ELSE r.path END"
+#: All nodes of the documents, from the top down.
+_NODES = f"""
+RECURSIVE n AS (
+  SELECT spl_id, '' AS path, '' AS parent, '' AS name, false AS listed, CAST(NULL AS INTEGER) AS pos, CAST(d AS JSON) AS j
+  FROM (SELECT spl_id, arg_max(coalesce(additional_data, ''), updated_at) AS d FROM medications WHERE spl_id IS NOT NULL GROUP BY spl_id) WHERE json_valid(d)
+  UNION ALL
+  SELECT r.spl_id,
+    CASE json_type(r.j) WHEN 'OBJECT' THEN CASE WHEN {_HERE} = '' THEN e.key ELSE {_HERE} || '.' || e.key END
+      WHEN 'ARRAY' THEN r.path || '[' || e.key || ']' ELSE r.path END,
+    CASE WHEN json_type(r.j) = 'OBJECT' AND r.listed THEN {_HERE} ELSE r.parent END,
+    CASE json_type(r.j) WHEN 'OBJECT' THEN e.key ELSE r.name END,
+    CASE json_type(r.j) WHEN 'OBJECT' THEN e.key IN ({_AMONG}) WHEN 'ARRAY' THEN r.listed AND r.pos IS NULL ELSE r.listed END,
+    CASE json_type(r.j) WHEN 'OBJECT' THEN NULL WHEN 'ARRAY' THEN CAST(e.key AS INTEGER) ELSE r.pos END,
+    CASE WHEN json_type(r.j) = 'VARCHAR' THEN CAST(r.j ->> '$' AS JSON) ELSE e.value END
+  FROM n r, LATERAL (SELECT * FROM json_each(r.j)) e
+  WHERE json_type(r.j) IN ('OBJECT', 'ARRAY') OR (json_type(r.j) = 'VARCHAR' AND json_valid(r.j ->> '$') AND regexp_matches(r.j ->> '$', '^\\s*[\\[{{"]'))
+),
+c AS (
+  SELECT spl_id, name, CASE WHEN pos IS NULL THEN path || '[0]' ELSE path END AS node_path, parent AS parent_path, coalesce(pos, 0) AS pos, j
+  FROM n WHERE listed AND json_type(j) = 'OBJECT'
+)"""
+
+
+def _p1_sql(record: str) -> str:
+    """A record's table; the test tables have no field besides the columns."""
+    columns = [
+        f"TRY_CAST(j ->> '$.{path}' AS DOUBLE) AS {name}" if kind == "double" else f"j ->> '$.{path}' AS \"{name}\""
+        for name, (path, kind) in TABLES[record].items()
+    ]
+    return f"WITH {_NODES} SELECT spl_id, node_path, parent_path, pos, {', '.join(columns)}, CAST(NULL AS VARCHAR) AS more FROM c WHERE name = '{record}'"
+
+
 ORACLE = {
+    "p1_found": f"WITH {_NODES} SELECT spl_id, node_path, parent_path FROM c",
+    **{f"p1_{r}": _p1_sql(r) for r in RECORD_LISTS},
     "p5_found": f"""
 WITH RECURSIVE s AS ({_LATEST_SECTIONS}),
 t AS (

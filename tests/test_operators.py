@@ -70,12 +70,21 @@ def test_nested_records(spark):
 
 
 def test_nested_tables(spark):
-    df = spark.createDataFrame([("a", '{"packages": [{"quantity": 2, "form": "BOX", "contents": {"ndc": "1"}}]}')], "k string, js string")
-    records = nested.nested_records(df, "k", "js")
-    row = nested.record_table(records, "k", "packages").first()
-    assert (row.node_path, row.quantity, row.form, row.ndc) == ("packages[0]", 2.0, "BOX", None)
-    inner = nested.record_table(records, "k", "contents").first()
-    assert (inner.parent_path, inner.ndc) == ("packages[0]", "1")
+    """Every field comes out: in its column, or in ``more``."""
+    js = """{"products": {"name": "p", "form": {"code": "C1", "display_name": "TABLET"}, "odd": [1], "packages": [{"quantity": 2, "form": "BOX", "contents": {"ndc": "1"}}],
+      "ingredients": [{"name": "i", "class": null, "quantity": {"numerator": {"value": 392, "unit": "mg"}, "denominator": {"value": 1}}},
+        {"name": {"x": 1}, "quantity": {"numerator": {"value": 3, "unit": "mg"}, "note": "about"}, "moieties": "none"}]}}"""
+    rounds = nested.nested_projection(spark.createDataFrame([("a", js)], "k string, js string"), "k", "js")
+    table = lambda r: nested.record_table(rounds, "k", r).orderBy("node_path").collect()
+    (p,) = table("products")
+    assert (p.name, p.form_code, p.form_display_name, json.loads(p.more)) == ("p", "C1", "TABLET", {"odd": [1]})
+    (box,) = table("packages")
+    assert (box.node_path, box.parent_path, box.quantity, box.form, box.ndc, box.more) == ("products[0].packages[0]", "products[0]", 2.0, "BOX", None, None)
+    (inner,) = table("contents")
+    assert (inner.parent_path, inner.ndc) == ("products[0].packages[0]", "1")
+    one, two = table("ingredients")
+    assert (one.numerator_value, one.numerator_unit, one.denominator_value, one.denominator_unit, one.more) == (392.0, "mg", 1.0, None, None)
+    assert (two.name, two.numerator_value, json.loads(two.more)) == ('{"x":1}', 3.0, {"moieties": "none", "quantity": {"note": "about", "numerator": {"unit": "mg", "value": 3}}})
 
 
 def test_nested_empty(spark):
