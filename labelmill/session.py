@@ -23,7 +23,10 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder shared by all executors: spark.checkpoint.dir, or a new one where that is unset (tests)."""
+    """Folder shared by all executors: spark.checkpoint.dir, or on local[N] a new one where that is unset (tests).
+
+    A cluster without one is refused: a folder of one machine isn't seen by the others.
+    """
     sc = spark.sparkContext
     given = sc.getConf().get("spark.checkpoint.dir")
     if given:
@@ -31,6 +34,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return str(current.get()).rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     made = tempfile.mkdtemp(prefix="spark-labelmill-")
     sc.setCheckpointDir(f"file://{made}")
     return f"file://{made}"
@@ -40,7 +45,7 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     Cuts the lineage, survives the loss of executors and keeps the files compact. The files go
-    when the driver's JVM ends.
+    when the driver's JVM ends, or by :func:`free`.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/labelmill-{uuid.uuid4().hex}"
@@ -49,3 +54,13 @@ def materialize(df: DataFrame) -> DataFrame:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def free(*tables: DataFrame | None) -> None:
+    """Deletes the files of tables written by :func:`materialize` that nothing reads any more."""
+    for df in tables:
+        for file in df.inputFiles()[:1] if df is not None else []:
+            folder = file.rsplit("/", 1)[0]
+            if folder.rsplit("/", 1)[-1].startswith("labelmill-"):
+                hpath = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+                hpath.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
