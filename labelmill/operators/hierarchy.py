@@ -1,12 +1,14 @@
 """Parent-child rows into full hierarchies: root, depth, path, descendants and cycles.
 
-1. Rows are grouped into fragments (a locality key, split by a salt where it is large); in each
-   fragment the parent chains are contracted: every node points to its fragment's exit, the
-   node from which the chain leaves the fragment, ends, or runs in a circle.
-2. The exits' parents in other fragments form a much smaller quotient forest, which is solved in
-   the same way: in one fragment once it has at most ``FRAGMENT_ROWS`` nodes, else by distributed
-   pointer doubling.
-3. Fragment results are expanded by the quotient's.
+1. Rows are placed in fragments (by a locality key, cut by a hash where it is large); in each
+   fragment the parent chains are contracted: every node points to its fragment's exit, the node
+   from which the chain leaves the fragment, ends, or runs in a circle.
+2. The nodes to which chains of other fragments lead form a smaller quotient forest. It is solved
+   by the same function: in one fragment once it has at most ``FRAGMENT_ROWS`` nodes; before that
+   its fragments are stars, a parent with those of its children that a coin drawn from their ids
+   assigns to it, so that a level takes away a quarter of a chain's nodes and all leaves.
+3. Fragment results (exit, distance, path) are expanded by the quotient's. A circle within a
+   fragment is seen there, one over several fragments closes within some level's fragment.
 """
 
 from __future__ import annotations
@@ -14,8 +16,9 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,211 +27,173 @@ from labelmill.session import materialize
 #: Most rows of a fragment, on average; a locality key with more is split.
 FRAGMENT_ROWS = 100_000
 CYCLE = "cycle"
-
-
-def _contract(parents: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per node its exit, the steps to it and whether its chain runs in a circle; -1 is no local parent.
-
-    Pointer doubling: after k rounds a node has jumped min(2 ** k, its depth) steps.
-    """
-    n = len(parents)
-    at = np.arange(n)
-    jump = np.where(parents >= 0, parents, at)
-    steps = (parents >= 0).astype(np.int64)
-    for _ in range(math.ceil(math.log2(n + 1)) + 1):
-        more = steps[jump]
-        if not more.any():
-            break
-        steps, jump = steps + more, jump[jump]
-    loop = parents[jump] >= 0
-    return jump, steps, loop
-
-
-def _fragment(pdf: pd.DataFrame) -> pd.DataFrame:
-    index = pd.Index(pdf["id"])
-    parents = index.get_indexer(pdf["parent"])
-    parents[pdf["parent"].isna().to_numpy()] = -1
-    jump, steps, loop = _contract(parents)
-    ids = pdf["id"].to_numpy()
-    above = pdf["parent"].to_numpy()[jump]
-    return pd.DataFrame(
-        {
-            "id": ids,
-            "exit_id": np.where(loop, None, ids[jump]),
-            "hops": np.where(loop, -1, steps).astype("int32"),
-            "above": np.where(loop, None, above),
-            "loop": loop,
-        }
-    )
-
-
-_SOLVED = T.StructType(
+_STEP = T.StructType([T.StructField("id", T.StringType()), T.StructField("place", T.LongType())])
+_LOCAL = T.StructType(
     [
         T.StructField("id", T.StringType()),
         T.StructField("exit_id", T.StringType()),
-        T.StructField("hops", T.IntegerType()),
+        T.StructField("hops", T.LongType()),
         T.StructField("above", T.StringType()),
+        T.StructField("onward", T.LongType()),
         T.StructField("loop", T.BooleanType()),
+        T.StructField("way", T.ArrayType(_STEP)),
     ]
 )
 
 
-def _double(nodes: DataFrame) -> DataFrame:
-    """Pointer doubling by joins over (id, top, hops, above, loop): what no single fragment can hold."""
-    open_before = None
-    while True:
-        up = nodes.select(
-            F.col("id").alias("above"), F.col("exit_id").alias("_e"), F.col("hops").alias("_h"), F.col("above").alias("_a"), F.col("loop").alias("_l")
-        )
-        joined = nodes.join(up, "above", "left")
-        moved = F.col("_h").isNotNull() & ~F.col("loop")
-        nodes = materialize(
-            joined.select(
-                "id",
-                F.when(moved, F.col("_e")).otherwise(F.col("exit_id")).alias("exit_id"),
-                F.when(moved, F.when(F.col("_l"), -1).otherwise(F.least(F.col("hops").cast("long") + 1 + F.col("_h"), F.lit(2**30)))).otherwise(F.col("hops")).cast("int").alias("hops"),
-                F.when(moved, F.col("_a")).otherwise(F.col("above")).alias("above"),
-                (F.col("loop") | (moved & F.coalesce("_l", F.lit(False)))).alias("loop"),
-            )
-        )
-        open_now = nodes.where("not loop").join(nodes.select(F.col("id").alias("above")), "above", "left_semi").count()
-        if open_now == 0:
-            return nodes
-        # A chain has nodes of every depth up to its own, so a round that ends none leaves circles only.
-        if open_now == open_before:
+def _contract(parents: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per node its exit, the weight and the steps to it and whether its chain runs in a circle; -1 is no local parent.
+
+    Pointer doubling: after k rounds a node has jumped min(2 ** k, its depth) steps.
+    """
+    n = len(parents)
+    jump = np.where(parents >= 0, parents, np.arange(n))
+    steps = (parents >= 0).astype(np.int64)
+    weight = np.where(parents >= 0, weights, 0).astype(np.int64)
+    for _ in range(math.ceil(math.log2(n + 1)) + 1):
+        if not steps[jump].any():
             break
-        open_before = open_now
-    known = nodes.select(F.col("id").alias("above"), F.lit(True).alias("_there"))
-    return nodes.join(known, "above", "left").select(
+        steps, weight, jump = steps + steps[jump], weight + weight[jump], jump[jump]
+    return jump, weight, steps, parents[jump] >= 0
+
+
+def _ways(parents: np.ndarray, steps: np.ndarray, ways: pa.ListArray) -> pa.ListArray:
+    """Per node the joined ways of the nodes from its exit down to itself; ``steps`` is -1 for nodes without one."""
+    ends = np.cumsum(steps + 1)
+    nodes = np.empty(int(ends[-1]) if len(ends) else 0, np.int64)
+    at, spot = np.flatnonzero(steps >= 0), ends[steps >= 0] - 1
+    first = (ends - steps - 1)[steps >= 0]
+    while len(at):
+        nodes[spot] = at
+        more = spot > first
+        at, spot, first = parents[at[more]], spot[more] - 1, first[more]
+    taken = ways.take(pa.array(nodes))
+    length = np.concatenate([[0], np.cumsum(pc.list_value_length(taken).to_numpy(zero_copy_only=False).astype(np.int64))])
+    return pa.ListArray.from_arrays(pa.array(length[np.concatenate([[0], ends])].astype(np.int32)), taken.flatten())
+
+
+def _fragment(rows: pa.Table) -> pa.Table:
+    """Contracts one fragment (id, parent, weight, dead, way)."""
+    rows = rows.combine_chunks()
+    ids, above = rows["id"].combine_chunks(), rows["parent"].combine_chunks()
+    dead = rows["dead"].to_numpy()
+    found = pc.index_in(above, value_set=ids)
+    parents = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    parents[pc.is_null(above).to_numpy(zero_copy_only=False) | dead] = -1
+    weights = rows["weight"].to_numpy()
+    jump, weight, steps, loop = _contract(parents, weights)
+    loop = loop | dead[jump]
+    exits = pa.array(jump, mask=loop)
+    way = rows["way"].combine_chunks()
+    if way.null_count < len(way):
+        way = _ways(parents, np.where(loop, -1, steps), way)
+    arrays = [ids, ids.take(exits), pa.array(weight, mask=loop), above.take(exits), pa.array(weights).take(exits), pa.array(loop), way]
+    return pa.Table.from_arrays(arrays, names=_LOCAL.names)
+
+
+def _placed(fragment_rows: int, total: int, level: int) -> Column:
+    """The fragment of a quotient node: one for all if they fit, else stars by a coin from the ids."""
+    if total <= fragment_rows:
+        return F.lit("0")
+    coin = lambda c: F.pmod(F.xxhash64(F.lit(level), c), F.lit(2)) == 0
+    star = F.when(F.col("parent").isNotNull() & ~coin("id") & coin("parent"), F.col("parent")).otherwise(F.col("id"))
+    return F.pmod(F.xxhash64(star, F.lit(17)), F.lit(math.ceil(4 * total / fragment_rows))).cast("string")
+
+
+def _forest(nodes: DataFrame, fragment_rows: int, level: int = 1) -> DataFrame:
+    """(id, root_id, depth, loop, way) of nodes (id, parent, weight, dead, way, frag): everything of a forest, exact.
+
+    ``weight`` is the distance to the parent, ``way`` what a path lists for the node (null if no
+    paths are wanted), ``dead`` marks nodes of known circles.
+    """
+    local = materialize(nodes.groupBy("frag").applyInArrow(_fragment, _LOCAL))
+    led = local.where("not loop and above is not null").select(F.col("above").alias("id")).distinct()
+    quotient = materialize(local.join(led, "id", "left_semi"))
+    n = quotient.count()
+    if n == 0:
+        return local.select("id", F.col("exit_id").alias("root_id"), F.col("hops").alias("depth"), "loop", "way")
+    inner = quotient.select(
+        "id", F.col("above").alias("parent"), (F.coalesce("hops", F.lit(0)) + F.coalesce("onward", F.lit(0))).alias("weight"), F.col("loop").alias("dead"), "way"
+    )
+    solved = _forest(inner.withColumn("frag", _placed(fragment_rows, n, level)), fragment_rows, level + 1)
+    # The quotient's top has a chain of its own up to its exit.
+    top = quotient.select(F.col("id").alias("root_id"), F.col("exit_id").alias("_exit"), F.col("hops").alias("_hops"))
+    solved = solved.join(top, "root_id", "left").select(
+        F.col("id").alias("above"), F.col("_exit").alias("_root"), (F.col("depth") + F.col("_hops")).alias("_depth"), F.col("loop").alias("_loop"), F.col("way").alias("_way")
+    )
+    joined = local.join(materialize(solved), "above", "left")
+    led_on = F.col("_loop").isNotNull()
+    lost = F.col("loop") | F.coalesce("_loop", F.lit(False))
+    return joined.select(
         "id",
-        F.when(F.col("_there").isNull(), F.col("exit_id")).alias("exit_id"),
-        F.when(F.col("_there").isNull(), F.col("hops")).otherwise(-1).alias("hops"),
-        F.when(F.col("_there").isNull(), F.col("above")).alias("above"),
-        (F.col("loop") | F.col("_there").isNotNull()).alias("loop"),
+        F.when(~lost, F.coalesce("_root", "exit_id")).alias("root_id"),
+        F.when(~lost, F.when(led_on, F.col("hops") + F.col("onward") + F.col("_depth")).otherwise(F.col("hops"))).alias("depth"),
+        lost.alias("loop"),
+        F.when(~lost, F.when(led_on, F.concat("_way", "way")).otherwise(F.col("way"))).alias("way"),
     )
 
 
-def hierarchy(df: DataFrame, id: str = "id", parent: str = "parent_section_id", locality: str | None = None, fragment_rows: int = FRAGMENT_ROWS) -> DataFrame:
-    """One row per id: id, root_id, depth, is_cycle.
-
-    A root (parent null or no row's id) has its own id and depth 0. Nodes from which no root can
-    be reached have root_id ``cycle``, depth -1 and is_cycle. ``locality`` is a column in which
-    most parents and children agree. Rows with a null id are dropped; of rows with the same id
-    and different parents the largest parent counts; a row that is its own parent is a cycle.
-    Empty input gives no row.
-    """
+def _solved(df: DataFrame, id: str, parent: str, locality: str | None, order: str | None, fragment_rows: int, paths: bool) -> DataFrame:
     key = F.col(locality).cast("string") if locality else F.col(id).cast("string")
+    place = F.coalesce(F.col(order).cast("long"), F.lit(2**62)) if order else F.lit(0).cast("long")
     rows = (
-        df.select(F.col(id).cast("string").alias("id"), F.col(parent).cast("string").alias("parent"), F.coalesce(key, F.lit("")).alias("key"))
+        df.select(F.col(id).cast("string").alias("id"), F.col(parent).cast("string").alias("parent"), F.coalesce(key, F.lit("")).alias("key"), place.alias("place"))
         .where(F.col("id").isNotNull())
         .groupBy("id")
-        .agg(F.max(F.struct("parent", "key")).alias("r"))
-        .select("id", "r.parent", "r.key")
+        .agg(F.max(F.struct("parent", "key")).alias("r"), F.min("place").alias("place"))
+        .select("id", "r.parent", "r.key", "place")
     )
     rows = materialize(rows)
-    sizes = rows.groupBy("key").count()
-    # Keys of more than a fragment's rows are cut by a hash of the id; such keys are few: n / fragment_rows at most.
-    large = sizes.where(F.col("count") > fragment_rows).withColumn("parts", F.ceil(F.col("count") / fragment_rows).cast("int")).drop("count")
     total = max(1, rows.count())
+    # Keys of more than a fragment's rows are cut by a hash of the id. They are written: joined by size, never broadcast unseen.
+    sizes = rows.groupBy("key").count().where(F.col("count") > fragment_rows)
+    large = materialize(sizes.select("key", F.ceil(F.col("count") / fragment_rows).cast("int").alias("parts")))
     buckets = max(1, math.ceil(4 * total / fragment_rows), min(rows.sparkSession.sparkContext.defaultParallelism, total // 1000 + 1))
-    frag = F.when(
-        F.col("parts").isNull(), F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("string")
-    ).otherwise(F.concat_ws("/", "key", F.pmod(F.xxhash64("id"), "parts")))
-    placed = rows.join(F.broadcast(large), "key", "left").select("id", "parent", frag.alias("frag"))
-    local = materialize(placed.groupBy("frag").applyInPandas(_fragment, _SOLVED))
-
-    # The quotient forest: nodes that are some exit's parent elsewhere.
-    outside = materialize(local.where("not loop and above is not null").select(F.col("above").alias("id")).distinct())
-    small = outside.count() <= fragment_rows
-    quotient = materialize(local.join(F.broadcast(outside) if small else outside, "id", "left_semi"))
-    n = quotient.count()
-    if n == 0:
-        solved = quotient
-    elif n <= fragment_rows:
-        solved = _solve_small(quotient)
-    else:
-        solved = _double(quotient)
-    top = solved.select(F.col("id").alias("above"), F.col("exit_id").alias("_e"), F.col("hops").alias("_h"), F.col("loop").alias("_l"))
-    joined = local.join(F.broadcast(top) if n <= fragment_rows else top, "above", "left")
-    lost = F.col("loop") | F.coalesce("_l", F.lit(False))
-    return joined.select(
-        "id",
-        F.when(lost, F.lit(CYCLE)).otherwise(F.coalesce("_e", "exit_id")).alias("root_id"),
-        F.when(lost, F.lit(-1)).otherwise(F.col("hops") + F.when(F.col("_h").isNull(), F.lit(0)).otherwise(F.col("_h") + 1)).cast("int").alias("depth"),
-        lost.alias("is_cycle"),
+    frag = F.when(F.col("parts").isNull(), F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("string")).otherwise(
+        F.concat_ws("/", "key", F.pmod(F.xxhash64("id"), "parts"))
     )
+    way = F.array(F.struct("id", "place")) if paths else F.lit(None).cast(T.ArrayType(_STEP))
+    nodes = rows.join(large, "key", "left").select("id", "parent", F.lit(1).cast("long").alias("weight"), F.lit(False).alias("dead"), way.alias("way"), frag.alias("frag"))
+    return _forest(nodes, fragment_rows)
 
 
-def _solve_small(quotient: DataFrame) -> DataFrame:
-    """A quotient of at most one fragment's rows, solved as one fragment with weighted steps."""
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        index = pd.Index(pdf["id"])
-        up = index.get_indexer(pdf["above"])
-        up[(pdf["above"].isna() | pdf["loop"]).to_numpy()] = -1
-        n, loop0 = len(pdf), pdf["loop"].to_numpy()
-        jump = np.where(up >= 0, up, np.arange(n))
-        steps = np.where(up >= 0, pdf["hops"].to_numpy() + 1, 0).astype(np.int64)
-        for _ in range(math.ceil(math.log2(n + 1)) + 1):
-            if not (up[jump] >= 0).any():
-                break
-            steps, jump = steps + steps[jump], jump[jump]
-        loop = (up[jump] >= 0) | loop0[jump]
-        return pd.DataFrame(
-            {
-                "id": pdf["id"],
-                "exit_id": np.where(loop, None, pdf["exit_id"].to_numpy()[jump]),
-                "hops": np.where(loop, -1, steps + pdf["hops"].to_numpy()[jump]).astype("int32"),
-                "above": np.where(loop, None, pdf["above"].to_numpy()[jump]),
-                "loop": loop,
-            }
-        )
-
-    return quotient.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(solve, _SOLVED)
-
-
-def ancestors(df: DataFrame, id: str = "id", parent: str = "parent_section_id") -> DataFrame:
-    """All (id, ancestor_id, distance) pairs, distance 0 being the node itself; cycles are left out.
-
-    Doubling over joins: a round adds the ancestors of twice the distance, so a forest of depth d
-    takes log2(d) rounds. The rows are as many as the result needs: the sum of the depths.
+def hierarchy(df: DataFrame, id: str = "id", parent: str = "parent_section_id", locality: str | None = None, fragment_rows: int = FRAGMENT_ROWS) -> DataFrame:
+    """One row per id: id, root_id, depth, is_cycle.
+
+    A root (parent null or no row's id) has its own id and depth 0. Nodes from which no root can
+    be reached have root_id ``cycle``, depth -1 and is_cycle. ``locality`` is a column in which
+    most parents and children agree. Rows with a null id are dropped; of rows with the same id
+    and different parents the largest parent counts; a row that is its own parent is a cycle.
+    Empty input gives no row; other columns are left out.
     """
-    edges = df.select(F.col(id).cast("string").alias("id"), F.col(parent).cast("string").alias("parent")).where("id is not null")
-    edges = edges.groupBy("id").agg(F.max("parent").alias("parent"))
-    ids = edges.select(F.col("id").alias("parent"))
-    cyclic = hierarchy(df, id, parent).where("is_cycle").select("id")
-    step = materialize(edges.join(ids, "parent", "left_semi").join(cyclic, "id", "left_anti").select("id", F.col("parent").alias("up"), F.lit(1).alias("d")))
-    pairs, reach = step, 1
-    while True:
-        more = pairs.alias("a").join(pairs.alias("b"), F.col("a.up") == F.col("b.id")).where((F.col("a.d") == reach)).select(
-            "a.id", "b.up", (F.col("a.d") + F.col("b.d")).alias("d")
-        )
-        more = materialize(more)
-        if more.isEmpty():
-            break
-        pairs = materialize(pairs.unionByName(more))
-        reach *= 2
-    own = edges.join(cyclic, "id", "left_anti").select("id", F.col("id").alias("up"), F.lit(0).alias("d"))
-    return pairs.unionByName(own).select("id", F.col("up").alias("ancestor_id"), F.col("d").alias("distance"))
+    out = _solved(df, id, parent, locality, None, fragment_rows, paths=False)
+    lost = F.col("loop")
+    return out.select("id", F.when(lost, F.lit(CYCLE)).otherwise(F.col("root_id")).alias("root_id"), F.when(lost, F.lit(-1)).otherwise(F.col("depth")).cast("int").alias("depth"), lost.alias("is_cycle"))
 
 
-def hierarchy_paths(df: DataFrame, id: str = "id", parent: str = "parent_section_id", order: str = "section_order") -> DataFrame:
-    """id, path (ids from the root down), order_path (sibling positions), depth, root_id, n_descendants.
+def node_paths(
+    df: DataFrame, id: str = "id", parent: str = "parent_section_id", order: str | None = "section_order", locality: str | None = None, fragment_rows: int = FRAGMENT_ROWS
+) -> DataFrame:
+    """id, path (ids from the root down to the node), order_path (sibling positions), depth, root_id.
 
-    Siblings are ordered by ``order``, nulls last, then by id. Nodes of cycles are left out; see
-    :func:`hierarchy`. A path has as many entries as its depth.
+    Siblings are ordered by ``order``, nulls last (2^62). Nodes of cycles are left out; else the
+    rules of :func:`hierarchy`. A path has as many entries as its depth and one more: the rows
+    are as large as the result needs.
     """
-    pairs = materialize(ancestors(df, id, parent))
-    place = df.select(F.col(id).cast("string").alias("ancestor_id"), F.coalesce(F.col(order).cast("long"), F.lit(2**62)).alias("place"))
-    place = place.groupBy("ancestor_id").agg(F.min("place").alias("place"))
-    steps = F.array_sort(F.collect_list(F.struct((-F.col("distance")).alias("k"), "ancestor_id", "place")))
-    paths = pairs.join(place, "ancestor_id").groupBy("id").agg(steps.alias("s"))
-    below = pairs.groupBy(F.col("ancestor_id").alias("id")).agg((F.count("*") - 1).alias("n_descendants"))
-    return paths.join(below, "id").select(
-        "id",
-        F.col("s.ancestor_id").alias("path"),
-        F.col("s.place").alias("order_path"),
-        (F.size("s") - 1).alias("depth"),
-        F.col("s")[0]["ancestor_id"].alias("root_id"),
-        "n_descendants",
-    )
+    out = _solved(df, id, parent, locality, order, fragment_rows, paths=True).where("not loop")
+    return out.select("id", F.col("way.id").alias("path"), F.col("way.place").alias("order_path"), F.col("depth").cast("int").alias("depth"), "root_id")
+
+
+def ancestors(paths: DataFrame) -> DataFrame:
+    """All (id, ancestor_id, distance) pairs of :func:`node_paths`, distance 0 being the node itself: the paths unrolled, without a join."""
+    return paths.select("id", "depth", F.posexplode("path").alias("k", "ancestor_id")).select("id", "ancestor_id", (F.col("depth") - F.col("k")).alias("distance"))
+
+
+def hierarchy_paths(
+    df: DataFrame, id: str = "id", parent: str = "parent_section_id", order: str = "section_order", locality: str | None = None, fragment_rows: int = FRAGMENT_ROWS
+) -> DataFrame:
+    """:func:`node_paths` with n_descendants; the descendants of a node are counted before the shuffle."""
+    paths = materialize(node_paths(df, id, parent, order, locality, fragment_rows))
+    below = paths.select(F.explode(F.slice("path", 1, F.size("path") - 1)).alias("id")).groupBy("id").agg(F.count("*").alias("n_descendants"))
+    out = paths.join(below, "id", "left").withColumn("n_descendants", F.coalesce("n_descendants", F.lit(0).cast("long")))
+    return out.select("id", "path", "order_path", "depth", "root_id", "n_descendants")

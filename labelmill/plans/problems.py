@@ -54,11 +54,11 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return H.hierarchy_paths(_sections(spark, sf_dir))
+    return H.hierarchy_paths(_sections(spark, sf_dir), locality="spl_id")
 
 
 def p5_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = H.ancestors(_sections(spark, sf_dir))
+    pairs = H.ancestors(H.node_paths(_sections(spark, sf_dir), locality="spl_id"))
     return pairs.where("distance > 0").select(F.col("ancestor_id").alias("id"), F.col("id").alias("descendant_id"), "distance")
 
 
@@ -157,6 +157,17 @@ t AS (
 SELECT id, root_id, CAST(depth AS INTEGER) AS depth FROM t WHERE depth > 0
 UNION ALL
 SELECT id, 'cycle' AS root_id, CAST(-1 AS INTEGER) AS depth FROM s WHERE id NOT IN (SELECT id FROM t)""",
+    "p5_paths": f"""
+WITH RECURSIVE s AS ({_LATEST_SECTIONS}),
+o AS (SELECT id, coalesce(arg_max(coalesce(section_order, -1), created_at), -1) AS k FROM spl_sections GROUP BY id),
+p AS (SELECT s.id, s.parent, CASE WHEN o.k = -1 THEN 4611686018427387904 ELSE CAST(o.k AS BIGINT) END AS place FROM s JOIN o USING (id)),
+t AS (
+  SELECT id, [id] AS path, [place] AS order_path, 0 AS depth, id AS root_id FROM p WHERE parent NOT IN (SELECT id FROM p)
+  UNION ALL
+  SELECT p.id, list_append(t.path, p.id), list_append(t.order_path, p.place), t.depth + 1, t.root_id FROM p JOIN t ON p.parent = t.id
+),
+b AS (SELECT a AS id, count(*) AS n FROM (SELECT unnest(path[:-2]) AS a FROM t) GROUP BY a)
+SELECT t.id, path, order_path, CAST(depth AS INTEGER) AS depth, root_id, coalesce(n, 0) AS n_descendants FROM t LEFT JOIN b USING (id)""",
     "p5_descendants": f"""
 WITH RECURSIVE s AS ({_LATEST_SECTIONS}),
 r AS (

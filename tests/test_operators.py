@@ -113,9 +113,33 @@ def test_hierarchy(spark, fragment_rows):
     assert got == brute_tree(parent)
 
 
+@pytest.mark.parametrize("fragment_rows", [6, 1000])
+def test_paths(spark, fragment_rows):
+    """Paths, places, descendants over fragments and quotients, against walking up the parents."""
+    rnd = random.Random(5)
+    parent = {f"n{i}": rnd.choice([None, "gone", *[f"n{rnd.randrange(i)}"] * 8]) if i else None for i in range(50)}
+    parent |= {f"c{i}": f"c{i - 1}" for i in range(1, 30)} | {"c0": "n7", "self": "self", "loop": "pool", "pool": "loop", "under": "pool"}
+    place = {i: rnd.choice([None, rnd.randrange(9)]) for i in parent}
+    df = spark.createDataFrame([(i, p, f"g{len(i)}", place[i], "x") for i, p in parent.items()], "id string, parent string, spl string, o int, path string")
+    want = {}
+    for i in parent:
+        way = [i]
+        while parent[way[0]] in parent and len(way) < 100:
+            way.insert(0, parent[way[0]])
+        if len(way) < 100:
+            want[i] = way
+    got = {r.id: r for r in H.hierarchy_paths(df, "id", "parent", "o", "spl", fragment_rows).collect()}
+    assert {i: (list(r.path), r.depth, r.root_id) for i, r in got.items()} == {i: (w, len(w) - 1, w[0]) for i, w in want.items()}
+    assert all(list(r.order_path) == [2**62 if place[x] is None else place[x] for x in want[i]] for i, r in got.items())
+    assert all(r.n_descendants == sum(i in w[:-1] for w in want.values()) for i, r in got.items())
+    pairs = {(r.id, r.ancestor_id, r.distance) for r in H.ancestors(H.node_paths(df, "id", "parent", "o", "spl", fragment_rows)).collect()}
+    assert pairs == {(i, a, len(w) - 1 - k) for i, w in want.items() for k, a in enumerate(w)}
+
+
 def test_hierarchy_empty_and_chain(spark):
     assert H.hierarchy(spark.createDataFrame([], "id string, parent string"), "id", "parent").count() == 0
     chain = spark.createDataFrame([(f"{i}", f"{i - 1}" if i else None) for i in range(300)], "id string, parent string")
+    assert H.hierarchy_paths(spark.createDataFrame([], "id string, parent string, o int"), "id", "parent", "o").count() == 0
     assert H.hierarchy(chain, "id", "parent", fragment_rows=10).agg(F.max("depth")).first()[0] == 299
 
 
