@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelmill.operators import hierarchy as H
-from labelmill.operators.history import delivered_history, delivered_snapshots, periods_in_force, snapshot_history
+from labelmill.operators.history import delivered_history, periods_in_force
 from labelmill.operators.nested import RECORD_LISTS, TABLES, nested_projection, nested_records, record_table
 from labelmill.operators.strength import equal_but_written_differently, with_common_units
 from labelmill.sources.tables import children, medications, read
@@ -73,12 +73,12 @@ def _deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snapshot_history(delivered_snapshots(_deliveries(spark, sf_dir), VERSION, ATTRIBUTES, "updated_at"), VERSION, ATTRIBUTES)
+    return delivered_history(_deliveries(spark, sf_dir), VERSION, ATTRIBUTES, "updated_at")
 
 
 def p6_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every delivered state of every version; the current ones with their period in force."""
-    history = delivered_history(_deliveries(spark, sf_dir), VERSION, ATTRIBUTES, "updated_at")
+    history = _history(spark, sf_dir)
     now = periods_in_force(history.where("is_current"), "set_id", "version_number", "effective_date")
     period = now.select("set_id", "version_number", "valid_from", "valid_to", F.lit(True).alias("is_current"))
     return history.join(period, ["set_id", "version_number", "is_current"], "left")
@@ -144,6 +144,8 @@ def _p1_sql(record: str) -> str:
     return f"WITH {_NODES} SELECT spl_id, node_path, parent_path, pos, {', '.join(columns)}, CAST(NULL AS VARCHAR) AS more FROM c WHERE name = '{record}'"
 
 
+_VALUES = ", ".join(ATTRIBUTES)
+
 ORACLE = {
     "p1_found": f"WITH {_NODES} SELECT spl_id, node_path, parent_path FROM c",
     **{f"p1_{r}": _p1_sql(r) for r in RECORD_LISTS},
@@ -192,4 +194,22 @@ w AS (
 )
 SELECT set_id, version_number, valid_from, coalesce(valid_to, '9999-12-31') AS valid_to
 FROM w WHERE valid_to IS NULL OR valid_from < valid_to""",
+    "p6_history": f"""
+WITH d AS (
+  SELECT *, coalesce(updated_at, TIMESTAMPTZ '1900-01-01 00:00:00+00') AS moment FROM medications WHERE set_id IS NOT NULL AND version_number IS NOT NULL
+),
+o AS (
+  SELECT *, row_number() OVER w AS k, lag(row({_VALUES})) OVER w AS before
+  FROM d WINDOW w AS (PARTITION BY set_id, version_number ORDER BY moment, {_VALUES})
+),
+v AS (SELECT *, lead(k) OVER (PARTITION BY set_id, version_number ORDER BY k) IS NULL AS is_current FROM o WHERE k = 1 OR before IS DISTINCT FROM row({_VALUES})),
+c AS (SELECT DISTINCT unnest(quantile_disc(moment, [0.25, 0.5, 0.75])) AS cut FROM d),
+f AS (
+  SELECT set_id, version_number, effective_date AS valid_from,
+    min(effective_date) OVER (PARTITION BY set_id ORDER BY version_number DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS valid_to
+  FROM v WHERE is_current AND effective_date IS NOT NULL
+)
+SELECT v.set_id, v.version_number, v.is_current, {', '.join(f'v.{a}' for a in ATTRIBUTES)}, 's' || (SELECT count(*) FROM c WHERE c.cut < v.moment) AS recorded_at,
+  v.updated_at AS delivered_at, f.valid_from, f.valid_to
+FROM v LEFT JOIN f ON v.is_current AND f.set_id = v.set_id AND f.version_number = v.version_number AND (f.valid_to IS NULL OR f.valid_from < f.valid_to)""",
 }
