@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from labelmill.functions.text import decode_entities
+from labelmill.functions.text import unescape
 
 # LOINC code -> (section type, strategy).
 SECTIONS = {
@@ -34,34 +34,54 @@ ABBREVIATIONS = {
     "im": "intramuscular", "sc": "subcutaneous", "sq": "subcutaneous",
 }
 # Rewriting rules of a section type, in order: (pattern, replacement).
-WARNING_WORDS = ["WARNING", "DANGER", "CAUTION", "BLACK BOX", "CONTRAINDICATED", "SERIOUS", "SEVERE"]
-FORBIDDING = ["DO NOT USE", "NEVER USE", "AVOID", "CONTRAINDICATED"]
+WARNINGS = [
+    (r"(?i)\bWARNING\b", "WARNING"),
+    (r"(?i)\bDANGER\b", "DANGER"),
+    (r"(?i)\bCAUTION\b", "CAUTION"),
+    (r"(?i)\bBLACK BOX\b", "BLACK BOX"),
+    (r"(?i)\bCONTRAINDICATED\b", "CONTRAINDICATED"),
+    (r"(?i)\bSERIOUS\b", "SERIOUS"),
+    (r"(?i)\bSEVERE\b", "SEVERE"),
+    (r"(?m)^\s*(\d+)\.", "•"),
+]
+INDICATIONS = [
+    (r"(?i)\bfor the treatment of\b", "treats"),
+    (r"(?i)\bis indicated for\b", "is used to treat"),
+    (r"(?i)\bis used in the treatment of\b", "treats"),
+    (r"(?i)\bmanagement of\b", "treatment of"),
+    (r"(?i)(\d+)\s*(tablet|capsule|dose)", r"$1 $2"),
+    (r"(?i)(\d+)\s*(time|times)\s*(per|a)\s*(day|week)", r"$1 $2 per $4"),
+]
+INGREDIENTS = [
+    (r"([A-Z][A-Za-z\s]+)(\d+\.?\d*\s*(?:mg|g|mcg|%|units?))", r"$1 $2"),
+    (r"(?i)\bmg\.\b", "mg"),
+    (r"(?i)\bg\.\b", "g"),
+    (r"(?i)\bmcg\.\b", "mcg"),
+    (r"(?i)\bIU\.\b", "IU"),
+    (r"(?i)\bunits?\.\b", "units"),
+]
+DO_NOT_USE = [
+    (r"(?i)\bDo not use\b", "DO NOT USE"),
+    (r"(?i)\bNever use\b", "NEVER USE"),
+    (r"(?i)\bAvoid\b", "AVOID"),
+    (r"(?i)\bContraindicated\b", "CONTRAINDICATED"),
+    (r"(?i)\bif you\b", "\nif you"),
+]
 REWRITES = {
-    "WARNINGS": [(rf"(?i)\b{w}\b", w) for w in WARNING_WORDS] + [(r"(?m)^\s*\d+\.", "•")],
-    "INDICATIONS_USAGE": [
-        (r"(?i)\bfor the treatment of\b", "treats"),
-        (r"(?i)\bis indicated for\b", "is used to treat"),
-        (r"(?i)\bis used in the treatment of\b", "treats"),
-        (r"(?i)\bmanagement of\b", "treatment of"),
-        (r"(?i)(\d+)\s*(tablet|capsule|dose)", r"$1 $2"),
-        (r"(?i)(\d+)\s*(times?)\s*(?:per|a)\s*(day|week)", r"$1 $2 per $3"),
-    ],
-    "ACTIVE_INGREDIENT": [
-        (r"([A-Z][A-Za-z\s]+)(\d+\.?\d*\s*(?:mg|g|mcg|%|units?))", r"$1 $2"),
-        (r"(?i)\b(mg|g|mcg|IU|units?)\.\b", r"$1"),
-    ],
-    "DO_NOT_USE": [(rf"(?i)\b{w}\b", w) for w in FORBIDDING] + [(r"(?i)\bif you\b", "\nif you")],
+    "WARNINGS": WARNINGS,
+    "INDICATIONS_USAGE": INDICATIONS,
+    "ACTIVE_INGREDIENT": INGREDIENTS,
+    "INACTIVE_INGREDIENT": INGREDIENTS,
+    "DO_NOT_USE": DO_NOT_USE,
     "ASK_DOCTOR": [(r"(?i)\bif you have\b", "\n• if you have")],
     "WHEN_USING": [(r"(?i)\bdo not\b", "\n• do not")],
     "STOP_USE": [(r"(?i)\bstop use\b", "STOP USE")],
 }
-REWRITES["INACTIVE_INGREDIENT"] = REWRITES["ACTIVE_INGREDIENT"]
-_TIMES = r"\s*(?:(\d+)\s*times?\s*(?:per|a)\s*(day|week|month))?"
 # Dosage patterns, each giving rows of its own.
 DOSAGES = [
-    rf"(?i)(\d+(?:\.\d+)?)\s*(tablet|capsule|dose)s?{_TIMES}",
-    rf"(?i)(\d+(?:\.\d+)?)\s*(mg|g|mcg|mL){_TIMES}",
-    rf"(?i)(?:take|use)\s*(\d+(?:\.\d+)?)\s*(tablet|capsule|dose)s?{_TIMES}",
+    r"(?i)(\d+(?:\.\d+)?)\s*(tablet|capsule|dose)s?\s*(?:(\d+)\s*times?\s*(?:per|a)\s*(day|week|month))?",
+    r"(?i)(\d+(?:\.\d+)?)\s*(mg|g|mcg|mL)\s*(?:(\d+)\s*times?\s*(?:per|a)\s*(day|week|month))?",
+    r"(?i)(?:take|use)\s*(\d+(?:\.\d+)?)\s*(tablet|capsule|dose)s?\s*(?:(\d+)\s*times?\s*(?:per|a)\s*(day|week|month))?",
 ]
 # Contraindication spans.
 CONTRAINDICATIONS = [r"(?is)do not use[^.]*if[^.]*", r"(?is)contraindicated[^.]*in[^.]*", r"(?is)should not be used[^.]*", r"(?is)avoid[^.]*if[^.]*"]
@@ -88,12 +108,24 @@ def expand_abbreviations(c: Column) -> Column:
     return c
 
 
+# Cleaning of any section, in order.
+CLEANING = [
+    (r"[ \t]+", " "),
+    (r"\n[ \t]*\n", "\n\n"),
+    (r"•\s*", "• "),
+    (r"(?m)^\s*•\s*", "• "),
+]
+
+
 def clean_section(c: Column) -> Column:
-    """Entities, blanks, blank lines and list marks made regular, abbreviations written out."""
-    t = F.regexp_replace(decode_entities(c), r"[ \t]+", " ")
-    t = F.regexp_replace(t, r"\n\s*\n", "\n")
-    t = F.regexp_replace(F.regexp_replace(t, r"•\s*", "• "), r"(?m)^[ \t]*[•*-][ \t]*", "• ")
-    return F.trim(expand_abbreviations(t))
+    """Entities of the whole table, blanks, blank lines and bullets made regular, abbreviations written out.
+
+    Paragraphs stay apart; other list marks than the bullet stay as they are.
+    """
+    t = unescape(c)
+    for pattern, replacement in CLEANING:
+        t = F.regexp_replace(t, pattern, replacement)
+    return F.regexp_replace(expand_abbreviations(t), r"^\s+|\s+$", "")
 
 
 def clinical_text(c: Column, kind: Column) -> Column:

@@ -10,7 +10,9 @@ FORMATS = [
     "yyyyMMdd", "yyyy-M-d", "M/d/yyyy", "M-d-yyyy", "d/M/yyyy", "yyyy/M/d", "yyyy.M.d", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy",
     "yyyy-MM-dd'T'HH:mm:ss", "yyyyMMddHHmmss", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "yyyy-MM-dd HH:mm:ss",
 ]
-MONTHS = "jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:tember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?"
+# Names of the months; each is also known by its first three letters.
+MONTH_NAMES = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
+MONTHS = "|".join([*MONTH_NAMES, *[m[:3] for m in MONTH_NAMES]])
 # Kinds of dates searched in a text, in this order, with their formats.
 IN_TEXT = [
     (r"\b(\d{8})\b", ["yyyyMMdd"]),

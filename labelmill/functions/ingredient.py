@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 # Class codes.
 CLASS_CODES = {"ACTIM": "active", "ACTIB": "active", "IACT": "inactive", "INACT": "inactive"}
 
+# Endings that don't belong to a name, in order.
+TAILS = [
+    r"\s+\(UNII:\s*[A-Z0-9]+\)$",
+    r"\s+\[INN\]$",
+    r"\s+\[USP\]$",
+]
+
 
 def ingredient_type(class_code: Column) -> Column:
     """active, inactive, or null for other codes."""
@@ -17,7 +24,7 @@ def ingredient_type(class_code: Column) -> Column:
 def normalize_substance(c: Column) -> Column:
     """Upper case, white space collapsed, without a final ``(UNII: X)``, ``[INN]``, ``[USP]``."""
     t = F.upper(F.trim(F.regexp_replace(c, r"\s+", " ")))
-    for tail in (r"\s*\(UNII:\s*[A-Z0-9]+\)$", r"\s*\[INN\]$", r"\s*\[USP\]$"):
+    for tail in TAILS:
         t = F.regexp_replace(t, tail, "")
     return F.trim(t)
 

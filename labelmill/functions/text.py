@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import html.entities
 
 import pandas as pd
 from pyspark.sql import Column
@@ -44,6 +45,29 @@ def decode_all_entities(c: Column) -> Column:
     return F.when(c.contains("&"), _unescape(c)).otherwise(c)
 
 
+#: Names of all HTML entities that end in a semicolon -> their signs.
+NAMED = {name.removesuffix(";"): sign for name, sign in html.entities.html5.items() if name.endswith(";")}
+
+
+def unescape(c: Column) -> Column:
+    """Entities decoded once, by the full HTML table and by number; unknown ones stay. On the JVM.
+
+    What is decoded isn't read again (``&amp;lt;`` gives ``&lt;``); null stays null.
+    """
+    names = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
+
+    def sign(piece: Column) -> Column:
+        name = F.substring_index(F.substring(piece, 2, 40), ";", 1)
+        digits = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 40), 16, 10)).otherwise(F.substring(name, 2, 40)).try_cast("int")
+        sound = digits.between(1, 0xD7FF) | digits.between(0xE000, 0x10FFFF)
+        byte = F.when(sound, F.decode(F.unhex(F.lpad(F.hex(digits), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+        numbered = F.when(name.startswith("#"), byte)
+        return F.when(piece.rlike("^&.+;$"), F.coalesce(F.try_element_at(names, name), numbered, piece)).otherwise(piece)
+
+    pieces = F.regexp_extract_all(c, F.lit(r"(?s)&(?:[A-Za-z][A-Za-z0-9]*|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});|[^&]+|&"), F.lit(0))
+    return F.when(~c.contains("&"), c).otherwise(F.array_join(F.transform(pieces, sign), ""))
+
+
 def _bullet(c: Column, keep: bool) -> Column:
     first = F.lit(None).cast("string")
     for p in reversed(BULLETS):

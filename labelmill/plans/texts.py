@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -259,14 +261,14 @@ _DOSE = " UNION ALL ".join(
 
 
 def _map(table: dict[str, str], c: str, other: str = "NULL") -> str:
-    return f"CASE {c} " + " ".join(f"WHEN '{s}' THEN '{u}'" for s, u in units.spellings(table).items()) + f" ELSE {other} END"
+    return f"CASE {c} " + " ".join(f"WHEN '{s}' THEN '{u}'" for s, u in table.items()) + f" ELSE {other} END"
 
 
 def _ucum(c: str) -> str:
     return f"coalesce({_map(units.UCUM, f'lower(trim({c}))')}, {_map(units.UCUM_RATIOS, f'lower(trim({c}))')})"
 
 
-_CATEGORY = "CASE " + " ".join(f"WHEN ucum IN ({', '.join(repr(u) for u in us.split())}) THEN '{k}'" for k, us in units.CATEGORIES.items())
+_CATEGORY = "CASE " + " ".join(f"WHEN ucum = '{u}' THEN '{k}'" for u, k in units.CATEGORIES.items())
 _CATEGORY += " WHEN contains(ucum, '/') THEN 'ratio' WHEN ucum IN ('%', '[ppm]', '[ppb]') THEN 'concentration' WHEN ucum = 'cm2' THEN 'area' END"
 
 
@@ -284,9 +286,30 @@ n AS (SELECT *, CASE WHEN ok THEN CASE WHEN partial THEN {code} WHEN t IS NOT NU
   THEN substr(t, 1, 5) || '-' || substr(t, 6, 4) || '-' || substr(t, 10, 1) END END AS ndc FROM v)"""
 
 
+def _rewritten(c: str, rules: list[tuple[str, str]]) -> str:
+    """SQL of rewriting rules in order; groups are written ``\\1`` there."""
+    for pattern, replacement in rules:
+        quoted = re.sub(r"[$](\d)", r"\\\1", replacement).replace("'", "''")
+        c = f"regexp_replace({c}, '{pattern}', '{quoted}', 'g')"
+    return c
+
+
+_ABBREVIATED = [(rf"(?i)\b{short}\b", long) for short, long in clinical.ABBREVIATIONS.items()]
+
+
+def _clinical(c: str) -> str:
+    """SQL; the entities are those of the test tables, the ampersand last."""
+    by_type = " ".join(f"WHEN '{k}' THEN {_rewritten(c, rules)}" for k, rules in clinical.REWRITES.items())
+    t = f"CASE {_TYPE} {by_type} ELSE {c} END"
+    for entity, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", "\u00a0"), ("&deg;", "°"), ("&micro;", "µ"), ("&amp;", "&")):
+        t = f"replace({t}, '{entity}', '{sign}')"
+    t = _rewritten(t, [*clinical.CLEANING, *_ABBREVIATED])
+    return rf"regexp_replace({t}, '^\s+|\s+$', '', 'g')"
+
+
 def _substance(c: str) -> str:
     t = rf"upper(trim(regexp_replace({c}, '\s+', ' ', 'g')))"
-    for tail in (r"\s*\(UNII:\s*[A-Z0-9]+\)$", r"\s*\[INN\]$", r"\s*\[USP\]$"):
+    for tail in ingredient.TAILS:
         t = f"regexp_replace({t}, '{tail}', '')"
     return f"trim({t})"
 
@@ -322,6 +345,7 @@ SELECT id, CAST(unnest(range(0, len(l))) AS INTEGER) AS pos, unnest(l) AS item F
         rf"SELECT id, regexp_replace(unnest(regexp_extract_all(coalesce(section_text, ''), '{p}')), '^\s+|\s+$', '', 'g') AS span FROM {S}" for p in clinical.CONTRAINDICATIONS
     ),
     "section_routing": f"SELECT id, loinc_code, {_TYPE} AS section_type, {_STRATEGY} AS strategy FROM {S}",
+    "clinical_text": f"SELECT id, {_TYPE} AS section_type, {_clinical('section_text')} AS text FROM {S} WHERE section_text IS NOT NULL",
     "section_distribution": f"""SELECT coalesce(loinc_code, 'UNKNOWN') AS code, count(*) AS n_sections, count(*) FILTER (length(trim(section_text)) > 0) AS n_with_text,
   count(*) FILTER (parent_section_id IS NOT NULL) AS n_subsections FROM {S} GROUP BY 1""",
     "first_texts": f"""

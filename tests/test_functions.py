@@ -144,6 +144,9 @@ def test_clinical(one):
         ("WHEN_USING", "please do not drive", "please \n• do not drive"),
         ("STOP_USE", "Stop use now", "STOP USE now"),
         (None, "plain  text", "plain text"),
+        (None, " a\n \t\nb\n - c\n *d \u2022e\n\n\n\u2022   f ", "a\n\nb\n - c\n *d \u2022 e\n\u2022 f"),
+        ("ACTIVE_INGREDIENT", "5 MG.x 2 unit.y 3 iu.z", "5 mgx 2 unitsy 3 IUz"),
+        (None, "a &alpha; &#8211; &#xb5; &amp;lt; &nothing; & b", "a \u03b1 \u2013 \u00b5 &lt; &nothing; & b"),
     ],
 )
 def test_rewrites(one, kind, raw, want):
@@ -178,3 +181,11 @@ def test_numbers():
 def test_segment_never_fails(t):
     segment(t)
     segment(t, "den")
+
+
+def test_substance_tails(one):
+    """An ending counts only after white space."""
+    assert one(ingredient.normalize_substance, "a b (UNII: X1)") == "A B"
+    assert one(ingredient.normalize_substance, "x(UNII: X1)") == "X(UNII: X1)"
+    assert one(ingredient.normalize_substance, "x [INN]") == "X"
+    assert one(ingredient.normalize_substance, None) is None
