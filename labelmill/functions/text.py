@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import html.entities
+import json
 
 import pandas as pd
 from pyspark.sql import Column
@@ -54,7 +55,7 @@ def unescape(c: Column) -> Column:
 
     What is decoded isn't read again (``&amp;lt;`` gives ``&lt;``); null stays null.
     """
-    names = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
+    names = F.from_json(F.lit(json.dumps(NAMED)), "map<string,string>")  # one constant, not thousands of expressions
 
     def sign(piece: Column) -> Column:
         name = F.substring_index(F.substring(piece, 2, 40), ";", 1)

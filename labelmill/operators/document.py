@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from labelmill.functions import clinical, indication, text
 from labelmill.functions.ingredient import ingredient_type, normalize_substance
@@ -52,6 +53,7 @@ def documents(parsed: DataFrame) -> DataFrame:
     body = d["component"]["structuredBody"]
     errors = F.array_compact(
         F.array(
+            F.when(F.col("xml").isNull(), F.lit("no readable text")),
             F.when(~ok, F.lit("not a label document")),
             F.when(ok & id_.isNull(), F.lit("missing document id")),
             F.when(ok & set_.isNull(), F.lit("missing set id")),
@@ -86,12 +88,11 @@ def quarantine(parsed: DataFrame) -> DataFrame:
 def sections(parsed: DataFrame) -> DataFrame:
     """Sections of the first ``DEPTH`` levels: document_id, section_id, path, depth, parent_section_id, codes, title, text, media.
 
-    Level by level with ``posexplode``; the level below the last unrolled one only sets
-    ``depth_overflow``, see :func:`all_sections`. Sections without id are dropped with what is
-    below them. The order of paths is the document's order.
+    What is below the last of these levels only sets ``depth_overflow``, see :func:`all_sections`.
+    Sections without id are dropped with what is below them. The order of paths is the document's order.
     """
-    level = _labels(parsed).select("document_id", F.posexplode(F.col(_BODY)).alias("i", "c"))
-    return _levels(level.select("document_id", F.array("i").alias("path"), F.lit(None).cast("string").alias("parent_section_id"), F.col("c.section").alias("s")))
+    tops = F.transform(F.col(_BODY), lambda c, i: F.struct(F.array(i).alias("path"), F.lit(None).cast("string").alias("parent"), c["section"].alias("s")))
+    return _levels(_labels(parsed).select("document_id", tops.alias("tops")))
 
 
 def all_sections(parsed: DataFrame) -> DataFrame:
@@ -99,39 +100,53 @@ def all_sections(parsed: DataFrame) -> DataFrame:
 
     What lies deeper than the schema is cut out of the text in pieces of ``DEPTH`` levels.
     """
-    deep = _levels(materialize(deep_fragments(_labels(parsed))))
+    pieces = materialize(deep_fragments(_labels(parsed)))
+    top = F.array(F.struct("path", F.col("parent_section_id").alias("parent"), "s"))
+    deep = _levels(pieces.select("document_id", top.alias("tops")))
     return sections(parsed).unionByName(deep).withColumn("depth_overflow", F.lit(False))
 
 
-def _levels(level: DataFrame) -> DataFrame:
-    """The sections ``s`` and ``DEPTH - 1`` levels below them; a section's depth is that of its path."""
-    out = None
-    for depth in range(DEPTH):
-        level = level.where(F.coalesce(F.col("s.id._root"), F.lit("")) != "")
-        last = depth == DEPTH - 1
-        deeper = F.exists(F.col("s.component"), lambda c: c["section"].isNotNull()) if last else F.lit(False)
-        media = F.filter(
-            F.transform(
-                F.col("s.component"),
-                lambda c, i: F.struct(
-                    F.coalesce(c["observationMedia"]["_ID"], F.concat(F.lit("media_"), (i + 1).cast("string"))).alias("media_id"),
-                    F.coalesce(c["observationMedia"]["value"]["_mediaType"], F.lit("unknown")).alias("media_type"),
-                    c["observationMedia"]["value"]["reference"]["_value"].alias("reference_value"),
-                    c["observationMedia"]["text"].alias("description"),
-                ),
-            ),
-            lambda m: m["reference_value"].isNotNull(),
-        )
-        part = level.select(
-            "document_id", F.col("s.id._root").alias("section_id"), "path", (F.size("path") - 1).alias("depth"), "parent_section_id",
-            coded(F.col("s.code")).alias("section_code"), F.col("s.title").alias("title"), xml_text(F.col("s.text")).alias("text_content"),
-            F.col("s.effectiveTime._value").alias("effective_time"), F.coalesce(media, F.array()).alias("media"), F.coalesce(deeper, F.lit(False)).alias("depth_overflow"),
-        )
-        out = part if out is None else out.unionByName(part)
+def _named(nodes: Column) -> Column:
+    return F.filter(nodes, lambda n: F.coalesce(n["s"]["id"]["_root"], F.lit("")) != "")
+
+
+def _row(n: Column, last: bool) -> Column:
+    """What a section's row is made of, as it stands in the document."""
+    below = n["s"]["component"]
+    return F.struct(
+        n["s"]["id"]["_root"].alias("section_id"), n["path"].alias("path"), n["parent"].alias("parent_section_id"), n["s"]["code"].alias("code"), n["s"]["title"].alias("title"),
+        n["s"]["text"].alias("text"), n["s"]["effectiveTime"]["_value"].alias("effective_time"), F.transform(below, lambda c: c["observationMedia"]).alias("observed"),
+        (F.exists(below, lambda c: c["section"].isNotNull()) if last else F.lit(False)).alias("deeper"),
+    )
+
+
+def _levels(df: DataFrame) -> DataFrame:
+    """The sections ``tops`` (path, parent, s) of a row and ``DEPTH - 1`` levels below them: nested transforms, one flatten, one inline."""
+    step = lambda n: F.transform(n["s"]["component"], lambda c, i: F.struct(F.concat(n["path"], F.array(i)).alias("path"), n["s"]["id"]["_root"].alias("parent"), c["section"].alias("s")))
+    level, rows = "tops", []
+    df = df.withColumn(level, _named(F.col(level)))
+    for k in range(DEPTH):
+        last = k == DEPTH - 1
+        rows.append(F.coalesce(F.transform(level, lambda n: _row(n, last)), F.array()))
         if not last:
-            level = level.select("document_id", "path", F.col("s.id._root").alias("parent_section_id"), F.posexplode(F.col("s.component")).alias("i", "c"))
-            level = level.where("c.section is not null").select("document_id", F.concat("path", F.array("i")).alias("path"), "parent_section_id", F.col("c.section").alias("s"))
-    return out
+            df = df.withColumn(f"_l{k}", _named(F.flatten(F.filter(F.transform(level, step), lambda x: x.isNotNull()))))
+            level = f"_l{k}"
+    flat = df.select("document_id", F.inline(F.flatten(F.array(*rows))))
+    media = F.filter(
+        F.transform(
+            F.col("observed"),
+            lambda m, i: F.struct(
+                F.coalesce(m["_ID"], F.concat(F.lit("media_"), (i + 1).cast("string"))).alias("media_id"), F.coalesce(m["value"]["_mediaType"], F.lit("unknown")).alias("media_type"),
+                m["value"]["reference"]["_value"].alias("reference_value"), m["text"].alias("description"),
+            ),
+        ),
+        lambda m: m["reference_value"].isNotNull(),
+    )
+    return flat.select(
+        "document_id", "section_id", "path", (F.size("path") - 1).alias("depth"), "parent_section_id", coded(F.col("code")).alias("section_code"), "title",
+        xml_text(F.col("text")).alias("text_content"), "effective_time", F.concat(inline_media(F.col("text")), F.coalesce(media, F.array())).alias("media"),
+        F.coalesce("deeper", F.lit(False)).alias("depth_overflow"),
+    )
 
 
 def xml_text(c: Column) -> Column:
@@ -146,17 +161,25 @@ def media_references(c: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(r'<renderMultiMedia\b[^<>]*referencedObject="([^"]*)"'), F.lit(1))
 
 
+def inline_media(c: Column) -> Column:
+    """The references of a text as media of type ``reference``; they stand before the section's own media."""
+    return F.transform(
+        media_references(c),
+        lambda r: F.struct(r.alias("media_id"), F.lit("reference").alias("media_type"), r.alias("reference_value"), F.lit(None).cast("string").alias("description")),
+    )
+
+
 def products(parsed: DataFrame) -> DataFrame:
-    """Every product of the top-level sections: document_id, path, the product's fields, its ingredients and packages."""
+    """Every product of the top-level sections: document_id, path, the section's code, the product's fields, its ingredients and packages."""
     rows = _labels(parsed).select("document_id", F.posexplode(F.col(_BODY)).alias("i", "c"))
-    rows = rows.select("document_id", "i", F.posexplode(F.col("c.section.subject")).alias("k", "s"))
-    rows = rows.select("document_id", F.array("i", "k").alias("path"), F.col("s.manufacturedProduct").alias("p")).where(F.col("p.manufacturedProduct").isNotNull())
+    rows = rows.select("document_id", "i", F.col("c.section.code._code").alias("listed_in"), F.posexplode(F.col("c.section.subject")).alias("k", "s"))
+    rows = rows.select("document_id", F.array("i", "k").alias("path"), "listed_in", F.col("s.manufacturedProduct").alias("p")).where(F.col("p.manufacturedProduct").isNotNull())
     n = F.col("p.manufacturedProduct")
     act = F.get(F.filter(F.col("p.subjectOf"), lambda s: s["marketingAct"].isNotNull()), F.lit(0))["marketingAct"]
     approval = F.get(F.filter(F.col("p.subjectOf"), lambda s: s["approval"].isNotNull()), F.lit(0))["approval"]
     routes = F.filter(F.transform(F.col("p.consumedIn"), lambda r: coded(r["substanceAdministration"]["routeCode"])), lambda r: r.isNotNull())
     return rows.select(
-        "document_id", "path", coded(n["code"]).alias("product_code"), F.trim(n["name"]["_VALUE"]).alias("name"), F.trim(n["name"]["suffix"]).alias("suffix"),
+        "document_id", "path", "listed_in", coded(n["code"]).alias("product_code"), F.trim(n["name"]["_VALUE"]).alias("name"), F.trim(n["name"]["suffix"]).alias("suffix"),
         F.nullif(F.trim(n["asEntityWithGeneric"]["genericMedicine"]["name"]), F.lit("")).alias("generic_name"), coded(n["formCode"]).alias("form"), coded(act["code"]).alias("marketing_code"),
         act["statusCode"]["_code"].alias("marketing_status"), act["effectiveTime"]["low"]["_value"].alias("marketing_low"),
         act["effectiveTime"]["high"]["_value"].alias("marketing_high"), approval["id"]["_extension"].alias("approval_id"), coded(approval["code"]).alias("approval_type"),
@@ -201,16 +224,37 @@ def packages(found: DataFrame) -> DataFrame:
     )
 
 
-def load_tables(parsed: DataFrame) -> dict[str, DataFrame]:
+# Date formats of labels, tried in this order.
+LOAD_FORMATS = ["yyyyMMdd", "yyyy-MM-dd", "yyyyMMddHHmmss", "yyyy-MM-dd'T'HH:mm:ss"]
+# Code of the section that lists the products.
+LISTING = "48780-1"
+
+
+def load_date(c: Column) -> Column:
+    """The day of a date in one of the four formats, else null."""
+    return F.coalesce(*[F.try_to_timestamp(F.trim(c), F.lit(f)) for f in LOAD_FORMATS]).cast("date")
+
+
+def numbered(sections: DataFrame) -> DataFrame:
+    """Adds section_order: 1, 2, ... through a document from the top down; a document is one row before it is parsed, so its sections are bounded."""
+    return sections.withColumn("section_order", F.row_number().over(Window.partitionBy("document_id").orderBy("path")))
+
+
+def load_tables(parsed: DataFrame, loaded_at: Column | None = None) -> dict[str, DataFrame]:
     """The relational tables of parsed labels: medications, ingredients, spl_sections, indications, additional_ndc_codes.
 
-    Codes count only in their own code system; keys are hashes of what identifies a row.
+    They have all columns that the search views read. Codes count only in their own code system;
+    keys are hashes of what identifies a row. A label's product is the first one of its first
+    listing section that has one; section_order runs through a label from the top down; a section's
+    text is rewritten by its type. ``loaded_at`` (now, unless given) is the time of processing.
     """
+    now = F.current_timestamp() if loaded_at is None else loaded_at
     docs = documents(parsed).where("success and document_id != 'unknown'")
     found = products(parsed)
-    secs = all_sections(parsed)
-    first = found.groupBy("document_id").agg(F.min(F.struct("path", "product_code", "name", "suffix", "generic_name", "form", "marketing_status", "marketing_low", "approval_type", "approval_id", "routes")).alias("p"))
-    day = lambda c: F.try_to_timestamp(F.substring(c, 1, 8), F.lit("yyyyMMdd")).cast("date")
+    # Written twice, so that the levels are walked once and each text is rewritten once.
+    secs = materialize(numbered(section_table(materialize(all_sections(parsed)))))
+    first = found.where(F.col("listed_in") == LISTING).groupBy("document_id").agg(F.min(F.struct("path", "product_code", "name", "suffix", "generic_name", "form", "marketing_status", "marketing_low", "approval_type", "approval_id", "routes")).alias("p"))
+    day = load_date
     system = lambda c, s: F.when(c["code_system"] == SYSTEMS[s], c["code"])
     shown = lambda c: F.coalesce(c["display_name"], c["code"])
     p = F.col("p")
@@ -221,13 +265,15 @@ def load_tables(parsed: DataFrame) -> dict[str, DataFrame]:
     company = F.col("organizations")[0]["name"]
     meds = docs.join(first, "document_id", "left").join(summary, "document_id", "left").select(
         F.col("document_id").alias("spl_id"), "set_id", F.col("version_number").try_cast("int").alias("version_number"), day(F.col("effective_time")).alias("effective_date"),
-        F.concat_ws(" ", F.nullif(p["name"], F.lit("")), F.nullif(p["suffix"], F.lit(""))).alias("brand_name"), p["generic_name"].alias("generic_name"),
+        F.nullif(F.concat_ws(" ", F.nullif(p["name"], F.lit("")), F.nullif(p["suffix"], F.lit(""))), F.lit("")).alias("brand_name"), p["generic_name"].alias("generic_name"),
         company.alias("manufacturer"), company.alias("labeler"), system(p["product_code"], "ndc").alias("ndc_code"), shown(p["form"]).alias("product_form"),
         F.nullif(F.array_join(F.transform(p["routes"], shown), ", "), F.lit("")).alias("route_of_administration"), shown(p["approval_type"]).alias("approval_type"),
         p["approval_id"].alias("approval_id"), p["marketing_status"].alias("marketing_status"),
         p["marketing_status"].isin("active", "inactive", "discontinued").alias("is_valid_marketing_status"), day(p["marketing_low"]).alias("marketing_date_start"),
         F.col("document_code.code").alias("document_code"), F.col("document_code.display_name").alias("document_display_name"),
-        F.to_json(F.struct("organizations", F.struct("total_sections", "with_text", "section_types").alias("section_summary"))).alias("additional_data"),
+        F.to_json(F.struct("organizations", F.struct("total_sections", "with_text", "section_types").alias("section_summary"), F.nullif(F.array_join("processing_errors", "; "), F.lit("")).alias("processing_errors"))).alias("additional_data"),
+        now.alias("processed_at"), F.lit("completed").alias("processing_status"), F.nullif(F.array_join("processing_errors", "; "), F.lit("")).alias("processing_errors"),
+        now.alias("created_at"), now.alias("updated_at"),
     )
     key = lambda *c: F.sha2(F.concat_ws("|", *c), 256)
     drugs = product_ingredients(found)
@@ -236,11 +282,13 @@ def load_tables(parsed: DataFrame) -> dict[str, DataFrame]:
         system(F.col("substance_code"), "unii").alias("unii_code"), F.col("quantity.numerator_value").try_cast("decimal(15,6)").alias("strength_numerator"),
         F.col("quantity.numerator_unit").alias("strength_numerator_unit"), F.col("quantity.denominator_value").try_cast("decimal(15,6)").alias("strength_denominator"),
         F.col("quantity.denominator_unit").alias("strength_denominator_unit"), F.col("moiety_name").alias("active_moiety_name"), F.col("moiety_code").alias("active_moiety_unii"),
+        now.alias("created_at"),
     )
     loinc = system(F.col("section_code"), "loinc")
     parts = secs.select(
-        F.col("section_id").alias("id"), F.col("document_id").alias("spl_id"), "section_id", loinc.alias("loinc_code"), F.col("title").alias("section_title"),
-        text.section_text(F.col("text_content")).alias("section_text"), "path", day(F.col("effective_time")).alias("effective_time"), "parent_section_id",
+        key("document_id", F.array_join("path", ".")).alias("id"), F.col("document_id").alias("spl_id"), "section_id", loinc.alias("loinc_code"), F.col("title").alias("section_title"),
+        text.section_text(F.col("clinical_text")).alias("section_text"), "section_order", "path", day(F.col("effective_time")).alias("effective_time"),
+        F.when(F.size("path") > 1, key("document_id", F.array_join(F.slice("path", 1, F.size("path") - 1), "."))).alias("parent_section_id"), now.alias("created_at"),
     )
     t = F.col("section_text")
     own = parts.where((F.col("loinc_code") == "34067-9") & t.isNotNull())
@@ -249,19 +297,19 @@ def load_tables(parsed: DataFrame) -> dict[str, DataFrame]:
     both = own.select("spl_id", "section_text", indication.indication_type(t).alias("indication_type")).unionByName(other)
     indications = both.select(
         key("spl_id", "section_text").alias("id"), "spl_id", F.col("section_text").alias("indication_text"), "indication_type",
-        indication.condition_name(t).alias("condition_name"), indication.population(t).alias("population_restriction"),
+        indication.condition_name(t).alias("condition_name"), indication.population(t).alias("population_restriction"), now.alias("created_at"),
     )
     boxes = packages(found)
     codes = boxes.select(
         key("document_id", F.array_join("path", "."), "pos").alias("id"), F.col("document_id").alias("spl_id"), system(F.col("package_code"), "ndc").alias("ndc_code"),
-        F.concat_ws(" ", F.col("package_quantity").cast("string"), shown(F.col("package_form"))).alias("package_description"), "package_quantity", "package_unit",
+        F.concat_ws(" ", F.col("package_quantity").cast("string"), shown(F.col("package_form"))).alias("package_description"), F.col("package_quantity").cast("string").alias("package_size"),
+        "package_quantity", "package_unit", now.alias("created_at"),
     )
     return {"medications": meds, "ingredients": ingredients, "spl_sections": parts, "indications": indications, "additional_ndc_codes": codes.where("ndc_code is not null")}
 
 
-def section_table(parsed: DataFrame) -> DataFrame:
-    """Sections with type, strategy and rewritten text."""
-    secs = all_sections(parsed)
+def section_table(secs: DataFrame) -> DataFrame:
+    """Parsed sections with type, strategy and rewritten text."""
     code = F.col("section_code.code")
     kind = clinical.section_type(code)
     return secs.withColumn("section_type", kind).withColumn("strategy", clinical.strategy(code)).withColumn(

@@ -27,6 +27,23 @@ def top_errors(df: DataFrame, error: str, k: int = 5) -> DataFrame:
     return df.where(F.col(error).isNotNull()).groupBy(kind).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "error").limit(k)
 
 
+def compare_batches(df: DataFrame, batch: str, ok: str, seconds: str) -> DataFrame:
+    """One row over batches of files: n_batches, avg, best and worst success rate, avg_batch_seconds, n_files, n_ok; zeros and nulls of none."""
+    each = df.groupBy(batch).agg(
+        (F.count_if(F.col(ok)) * 100.0 / F.count("*")).alias("_rate"), F.sum(seconds).alias("_s"), F.count("*").alias("_n"), F.count_if(F.col(ok)).alias("_k")
+    )
+    return each.agg(
+        F.count("*").alias("n_batches"), F.round(F.avg("_rate"), 6).alias("avg_success_rate"), F.round(F.max("_rate"), 6).alias("best_success_rate"),
+        F.round(F.min("_rate"), 6).alias("worst_success_rate"), F.round(F.avg("_s"), 4).alias("avg_batch_seconds"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_files"), F.coalesce(F.sum("_k"), F.lit(0)).alias("n_ok"),
+    )
+
+
+def files_per_category(df: DataFrame, category: str) -> DataFrame:
+    """category, n_files; files without a category count under ''."""
+    return df.groupBy(F.coalesce(category, F.lit("")).alias("category")).agg(F.count("*").alias("n_files"))
+
+
 def missing_files(tracked: DataFrame, listing: DataFrame, name: str) -> DataFrame:
     """Tracked entries that are still there."""
     return tracked.join(listing.select(name).distinct(), name, "left_semi")

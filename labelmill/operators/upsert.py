@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -11,14 +13,24 @@ def upsert(current: DataFrame, incoming: DataFrame, keys: list[str], order: str)
     """One row per key of both: the one with the largest ``order``, incoming rows before current ones in ties.
 
     Whole rows replace whole rows; columns of only one side are null on the other. Rows with a
-    null key are kept apart by nothing and count as one key.
+    null in a key identify nothing and are left out; :func:`without_key` has them for quarantine.
     """
+    current, incoming = (df.where(_keyed(keys)) for df in (current, incoming))
     both = current.withColumn("_new", F.lit(0)).unionByName(incoming.withColumn("_new", F.lit(1)), allowMissingColumns=True)
     rest = [c for c in both.columns if c not in (*keys, "_new", order)]
     best = both.groupBy(*keys).agg(F.max(F.struct(order, "_new", *rest)).alias("_r"))
     return best.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in (order, *rest)])
 
 
+def _keyed(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
+def without_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows that :func:`upsert` leaves out."""
+    return df.where(~_keyed(keys))
+
+
 def replace_children(current: DataFrame, incoming: DataFrame, parent: str) -> DataFrame:
     """All children of the parents in ``incoming`` are replaced by its rows."""
     kept = current.join(incoming.select(parent).distinct(), parent, "left_anti")

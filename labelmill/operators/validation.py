@@ -10,6 +10,15 @@ from labelmill.functions import clinical
 UUID = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 # Sections a label must have at its top level.
 REQUIRED_TYPES = ["ACTIVE_INGREDIENT", "WARNINGS"]
+# Known code systems.
+CODE_SYSTEMS = [
+    "2.16.840.1.113883.6.1",
+    "2.16.840.1.113883.6.69",
+    "2.16.840.1.113883.3.26.1.1",
+    "2.16.840.1.113883.4.9",
+    "2.16.840.1.113883.5.28",
+    "2.16.840.1.113883.3.150",
+]
 MESSAGE = "struct<severity:string,field:string,message:string>"
 
 
@@ -33,6 +42,35 @@ def date_text(field: str) -> Column:
     return F.coalesce(_message(~digits, "warning", field, "is not of the form yyyyMMdd"), _message(digits & ~valid, "error", field, "is not a date"))
 
 
+def coded(field: str) -> list[Column]:
+    """Rules of a struct(code, code_system, ...): both are required, the system should be a known one; a null struct breaks none."""
+    c = F.col(field)
+    lacks = lambda part: c.isNotNull() & (F.coalesce(F.trim(c[part]), F.lit("")) == "")
+    unknown = F.coalesce((c["code_system"] != "") & ~c["code_system"].isin(*CODE_SYSTEMS), F.lit(False))
+    return [
+        _message(lacks("code"), "error", f"{field}.code", "is required"),
+        _message(lacks("code_system"), "error", f"{field}.code_system", "is required"),
+        _message(unknown, "warning", f"{field}.code_system", "is not a known code system"),
+    ]
+
+
+def document_messages(docs: DataFrame) -> DataFrame:
+    """Rules of parsed documents that the tables can't show any more: dates as written and code systems."""
+    rows = docs.where("success").withColumnRenamed("document_id", "spl_id")
+    return messages(rows, "spl_id", "document", [date_text("effective_time"), *coded("document_code")])
+
+
+def parsed_section_messages(sections: DataFrame) -> DataFrame:
+    """The same of parsed sections of all depths."""
+    rows = sections.withColumnRenamed("document_id", "spl_id")
+    return messages(rows, "spl_id", "section", [date_text("effective_time"), *coded("section_code")])
+
+
+def parsed_product_messages(products: DataFrame) -> DataFrame:
+    """The same of parsed products."""
+    return messages(products.withColumnRenamed("document_id", "spl_id"), "spl_id", "product", coded("product_code"))
+
+
 def messages(df: DataFrame, key: str, kind: str, rules: list[Column]) -> DataFrame:
     """key, context, severity, field, message: one row per broken rule."""
     found = F.array_compact(F.array(*rules))
@@ -94,10 +132,10 @@ def structure_messages(meds: DataFrame, sections: DataFrame, ingredients: DataFr
 
 
 def summary(found: DataFrame, meds: DataFrame) -> DataFrame:
-    """Per label the messages by severity; a label without errors is valid."""
+    """Per label the messages by severity and in all; a label without errors is valid."""
     counts = found.groupBy("spl_id").agg(
-        F.count_if(F.col("severity") == "error").alias("n_errors"), F.count_if(F.col("severity") == "warning").alias("n_warnings")
+        *[F.count_if(F.col("severity") == k).alias(n) for k, n in (("error", "n_errors"), ("warning", "n_warnings"), ("info", "n_info"))], F.count("*").alias("n_issues")
     )
     out = meds.select("spl_id").join(counts, "spl_id", "left")
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    return out.select("spl_id", zero("n_errors"), zero("n_warnings"), (F.coalesce("n_errors", F.lit(0)) == 0).alias("is_valid"))
+    return out.select("spl_id", zero("n_errors"), zero("n_warnings"), zero("n_info"), zero("n_issues"), (F.coalesce("n_errors", F.lit(0)) == 0).alias("is_valid"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,37 +18,76 @@ from labelmill.sources.label_xml import parse, read_xml_dir, read_xml_zip
 
 @dataclass(frozen=True)
 class Options:
-    """``archives``: the folder holds archives of archives; ``recursive``: sub-folders too; ``strict``: a bad document fails the run."""
+    """``archives``: the folder holds archives of archives; ``recursive``: sub-folders too; ``strict``: a bad document fails the run.
+
+    ``strict_validation``: a broken rule of severity error fails the run. ``json``: the report, the
+    documents and the messages are written as JSON lines too.
+    """
 
     archives: bool = False
     recursive: bool = True
     strict: bool = False
+    strict_validation: bool = False
+    json: bool = False
     write_mode: str = "overwrite"
 
 
 def run(spark: SparkSession, path: str, target: str, options: Options = Options()) -> dict[str, DataFrame]:
     """Loads a folder of labels into Parquet tables under ``target``; returns all written tables by name.
 
-    Besides the five relational tables there are ``quarantine`` (what isn't a label), ``messages``
-    (broken rules) and ``report`` (one row of counts). An empty folder gives empty tables. Of
-    documents with the same id in several files each is loaded; resolve them with ``upsert``.
+    Besides the five relational tables, which have all columns the views read, there are
+    ``quarantine`` (what isn't a label), ``messages`` (broken rules), ``validation`` (their counts by
+    label), ``documents`` (one row a file: path, document_id, success, error, warnings and counts)
+    and ``report`` (one row of sums). An empty folder gives empty tables. Of documents with the
+    same id in several files each is loaded; resolve them with ``upsert``.
     """
     raw = read_xml_zip(spark, path).withColumn("path", F.concat_ws("/", "archive", "inner", "name")) if options.archives else read_xml_dir(spark, path, options.recursive)
     parsed = materialize(parse(raw.select("path", "xml")))
     bad = D.quarantine(parsed)
     if options.strict:
         bad = bad.withColumn("xml", F.raise_error(F.concat(F.lit("not a label document: "), "path")).cast("string"))
-    tables = D.load_tables(parsed)
-    docs = D.documents(parsed)
-    found = validation.label_messages(tables["medications"]).unionByName(validation.section_messages(tables["spl_sections"])).unionByName(validation.ingredient_messages(tables["ingredients"]))
-    counts = docs.agg(
+    now = F.lit(spark.sql("select current_timestamp() as t").first()["t"])
+    out: dict[str, DataFrame] = {}
+
+    def write(name: str, df: DataFrame) -> None:
+        df.write.mode(options.write_mode).parquet(f"{target}/{name}.parquet")
+        out[name] = spark.read.parquet(f"{target}/{name}.parquet")
+
+    for name, df in {**D.load_tables(parsed, now), "quarantine": bad}.items():
+        write(name, df)
+    docs, products = D.documents(parsed), D.products(parsed)
+    found = [
+        validation.label_messages(out["medications"]), validation.section_messages(out["spl_sections"]), validation.ingredient_messages(out["ingredients"]),
+        validation.structure_messages(out["medications"], out["spl_sections"], out["ingredients"]), validation.document_messages(docs),
+        validation.parsed_section_messages(D.all_sections(parsed)), validation.parsed_product_messages(products),
+    ]
+    broken = reduce(DataFrame.unionByName, found)
+    if options.strict_validation:
+        broken = broken.withColumn("message", F.when(F.col("severity") == "error", F.raise_error(F.concat_ws(" ", F.lit("invalid label"), "spl_id", "field", "message")).cast("string")).otherwise(F.col("message")))
+    write("messages", broken)
+    write("validation", validation.summary(out["messages"], out["medications"]))
+    counts = {
+        "n_sections": out["spl_sections"].groupBy(F.col("spl_id").alias("document_id")), "n_products": products.groupBy("document_id"),
+        "n_active": out["ingredients"].where("ingredient_type = 'active'").groupBy(F.col("spl_id").alias("document_id")),
+    }
+    error = F.nullif(F.array_join("processing_errors", "; "), F.lit(""))
+    rows = docs.select("path", "document_id", "success", F.when(~F.col("success"), error).alias("error"), F.when(F.col("success"), error).alias("warnings"))
+    for name, grouped in counts.items():
+        rows = rows.join(grouped.agg(F.count("*").alias(name)), "document_id", "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    write("documents", rows)
+    sums = out["documents"].agg(
         F.count("*").alias("n_files"), F.count_if("success").alias("n_labels"), F.count_if(~F.col("success")).alias("n_failed"),
         F.coalesce(F.round(F.try_divide(F.count_if("success") * 100.0, F.count("*")), 4), F.lit(0.0)).alias("success_rate"),
+        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in counts],
     )
-    out = {}
-    for name, df in {**tables, "quarantine": bad, "messages": found, "report": counts}.items():
-        df.write.mode(options.write_mode).parquet(f"{target}/{name}.parquet")
-        out[name] = spark.read.parquet(f"{target}/{name}.parquet")
+    valid = out["validation"].agg(
+        F.count_if("is_valid").alias("n_valid"), F.count_if(~F.col("is_valid")).alias("n_invalid"),
+        F.coalesce(F.round(F.try_divide(F.count_if("is_valid") * 100.0, F.count("*")), 4), F.lit(0.0)).alias("validation_rate"),
+    )
+    write("report", sums.withColumn("_one", F.lit(1)).join(valid.withColumn("_one", F.lit(1)), "_one").drop("_one"))  # one row each
+    if options.json:
+        for name in ("report", "documents", "messages", "validation"):
+            out[name].write.mode(options.write_mode).json(f"{target}/{name}.jsonl")
     return out
 
 

@@ -139,8 +139,8 @@ _SCORE = "(" + " + ".join(f"CAST({c} IS NOT NULL AS INTEGER)" for c in ("brand_n
 ORACLE = {
     "validation_messages": _MESSAGES,
     "validation_summary": f"""
-WITH m AS ({_MESSAGES}), c AS (SELECT spl_id, count(*) FILTER (severity = 'error') AS e, count(*) FILTER (severity = 'warning') AS w FROM m GROUP BY spl_id)
-SELECT x.spl_id, coalesce(e, 0) AS n_errors, coalesce(w, 0) AS n_warnings, coalesce(e, 0) = 0 AS is_valid FROM {M} x LEFT JOIN c USING (spl_id)""",
+WITH m AS ({_MESSAGES}), c AS (SELECT spl_id, count(*) FILTER (severity = 'error') AS e, count(*) FILTER (severity = 'warning') AS w, count(*) AS n FROM m GROUP BY spl_id)
+SELECT x.spl_id, coalesce(e, 0) AS n_errors, coalesce(w, 0) AS n_warnings, 0 AS n_info, coalesce(n, 0) AS n_issues, coalesce(e, 0) = 0 AS is_valid FROM {M} x LEFT JOIN c USING (spl_id)""",
     "latest_versions": """
 SELECT set_id, version_number, spl_id, brand_name, marketing_status, updated_at FROM medications
 QUALIFY row_number() OVER (PARTITION BY set_id, version_number ORDER BY updated_at DESC) = 1""",

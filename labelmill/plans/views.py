@@ -65,7 +65,7 @@ def section_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     for code, name in SECTION_NAMES.items():
         kind = kind.when(F.col("loinc_code") == code, F.lit(name))
     out = sections.join(meds, "spl_id").withColumn("section_type_name", kind.otherwise(F.coalesce("section_title", F.lit("Other Section"))))
-    return out.select("id", *kept, "brand_name", "generic_name", "section_type_name").orderBy("spl_id", "section_order", "id")
+    return out.select("id", *kept, "brand_name", "generic_name", "section_type_name")
 
 
 def active_ingredients_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +77,7 @@ def active_ingredients_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         distinct_list(F.col("product_form")).alias("dosage_forms"),
         distinct_list(F.col("manufacturer")).alias("manufacturers"),
     )
-    return out.orderBy(F.desc("medication_count"), "substance_name")
+    return out
 
 
 def like_pattern(term: str) -> str:
@@ -90,7 +90,7 @@ def search_condition(spark: SparkSession, sf_dir: str, term: str) -> DataFrame:
     rows = children(spark, sf_dir, "indications", ["spl_id", "condition_name", "indication_text"])
     pattern = like_pattern(term)
     found = rows.where(F.col("condition_name").ilike(pattern) | F.col("indication_text").ilike(pattern))
-    return found.join(meds, "spl_id").select("id", "spl_id", "brand_name", "generic_name", "condition_name").orderBy("brand_name", "generic_name", "id")
+    return found.join(meds, "spl_id").select("id", "spl_id", "brand_name", "generic_name", "condition_name")
 
 
 def condition_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,12 +122,12 @@ def text_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def active_ingredients(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = children(spark, sf_dir, "ingredients", ["spl_id", "ingredient_type", "substance_name", "unii_code"])
-    return rows.where("ingredient_type = 'active'").drop("ingredient_type").orderBy("spl_id", "substance_name", "id")
+    return rows.where("ingredient_type = 'active'").drop("ingredient_type")
 
 
 def indications_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = children(spark, sf_dir, "indications", ["spl_id", "indication_type", "condition_name"])
-    return rows.orderBy("spl_id", "indication_type", "id")
+    return rows
 
 
 def document_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,12 +188,47 @@ def trigram_similarities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("spl_id", F.round(trigram_similarity(F.col("manufacturer"), F.col("labeler")), 6).alias("similarity"))
 
 
+def get_records(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """One record per key of ``keys`` that exists, all columns; of several rows of a key the largest by its other columns. Null keys match nothing."""
+    rest = [c for c in df.columns if c not in on]
+    found = df.join(keys.select(*on).distinct(), on, "left_semi").groupBy(*on).agg(F.max(F.struct(*rest)).alias("_r"))
+    return found.select(*on, *[F.col(f"_r.`{c}`").alias(c) for c in rest])
+
+
+def which_exist(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """The distinct keys with ``exists``: whether ``df`` has a row for them."""
+    there = df.select(*on).distinct().withColumn("_there", F.lit(True))
+    return keys.select(*on).distinct().join(there, on, "left").select(*on, F.col("_there").isNotNull().alias("exists"))
+
+
+def label_existence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of the children's labels, and of the label families' ids, are labels themselves."""
+    meds = read(spark, sf_dir, "medications")
+    keys = read(spark, sf_dir, "indications").select("spl_id").unionByName(meds.select(F.col("set_id").alias("spl_id"))).where("spl_id is not null")
+    return which_exist(meds, keys, ["spl_id"])
+
+
+def document_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per label the lookups of its children: active ingredients, indications, codes as sorted lists, and its number of sections."""
+    out = medications(spark, sf_dir, ["set_id", "version_number", "brand_name"])
+    parts = (
+        ("ingredients", ["ingredient_type", "substance_name", "unii_code"], F.when(F.col("ingredient_type") == "active", F.struct("substance_name", "unii_code")), "active"),
+        ("indications", ["indication_type", "condition_name"], F.struct("indication_type", "condition_name"), "indications"),
+        ("additional_ndc_codes", ["ndc_code", "package_description"], F.struct("ndc_code", "package_description"), "codes"),
+    )
+    for table, columns, item, name in parts:
+        rows = children(spark, sf_dir, table, ["spl_id", *columns]).groupBy("spl_id").agg(F.array_sort(F.collect_list(item)).alias(name))
+        out = out.join(rows, "spl_id", "left").withColumn(name, F.to_json(F.coalesce(name, F.array()), {"ignoreNullFields": "false"}))
+    counts = children(spark, sf_dir, "spl_sections", ["spl_id"]).groupBy("spl_id").agg(F.count("*").alias("n_sections"))
+    return out.join(counts, "spl_id", "left").withColumn("n_sections", F.coalesce("n_sections", F.lit(0)))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         medication_search, section_content, active_ingredients_summary, condition_search, sections_in_order, sections_by_loinc, clinical_sections,
         text_sections, active_ingredients, indications_in_order, document_summary, orphans, table_counts, newest_labels, ndc_lookup, label_profile,
-        trigram_similarities,
+        trigram_similarities, label_existence, document_details,
     )
 }
 
@@ -273,4 +308,7 @@ SELECT set_id, max(version_number) AS version_number, count(*) AS n_versions, {_
 WITH t AS (SELECT spl_id, '  ' || lower(manufacturer) || ' ' AS a, '  ' || lower(labeler) || ' ' AS b FROM {M} WHERE manufacturer IS NOT NULL AND labeler IS NOT NULL),
 s AS (SELECT spl_id, {_TRI.format(v='a')} AS x, {_TRI.format(v='b')} AS y FROM t)
 SELECT spl_id, round(len(list_intersect(x, y)) / (len(x) + len(y) - len(list_intersect(x, y))), 6) AS similarity FROM s""",
+    "label_existence": """
+SELECT spl_id, spl_id IN (SELECT spl_id FROM medications) AS exists FROM
+(SELECT spl_id FROM indications UNION SELECT set_id FROM medications) WHERE spl_id IS NOT NULL""",
 }

@@ -41,3 +41,22 @@ def file_catalog(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
         F.col("path").alias("local_path"), F.element_at(F.split("path", "/"), -1).alias("filename"), F.col("length").alias("file_size"),
         F.col("modificationTime").alias("modified"), F.md5("content").alias("md5_hash"),
     )
+
+
+#: Columns of the download log.
+TRACKED = "filename string, url string, local_path string, file_size long, md5_hash string, download_time timestamp"
+
+
+def read_tracker(spark: SparkSession, path: str) -> DataFrame:
+    """The log of tracked files, one JSON object of objects by file name per file of ``path``; a corrupt log holds no entry."""
+    raw = spark.read.text(path, wholetext=True)
+    entries = F.from_json("value", f"map<string,struct<{', '.join(x.replace(' ', ':', 1) for x in TRACKED.split(', ')[1:])}>>")
+    rows = raw.where(F.expr("try_parse_json(value) IS NOT NULL")).select(F.explode_outer(entries).alias("filename", "f")).where("filename is not null")
+    return rows.select("filename", "f.*")
+
+
+def write_tracker(entries: DataFrame, path: str) -> None:
+    """Writes the log in the form that :func:`read_tracker` reads, one object per task."""
+    columns = [c.split(" ")[0] for c in TRACKED.split(", ")[1:]]
+    line = F.to_json(F.create_map(F.col("filename"), F.struct(*columns)))
+    entries.where("filename is not null").select(line.alias("value")).write.mode("overwrite").text(path)

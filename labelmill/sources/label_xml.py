@@ -57,9 +57,9 @@ DOCUMENT = (
 
 
 def read_xml_dir(spark: SparkSession, path: str, recursive: bool = False, first: int | None = None) -> DataFrame:
-    """path, xml: one row per ``*.xml`` file. An empty folder gives no row."""
-    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.xml", recursiveFileLookup=recursive)
-    out = files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("xml"))
+    """path, xml: one row per ``*.xml`` file; xml is null where the file isn't UTF-8 text. An empty folder gives no row."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").option("recursiveFileLookup", recursive).load(path)
+    out = files.select("path", F.expr("try_validate_utf8(cast(content AS string))").alias("xml"))
     return out if first is None else out.orderBy("path").limit(first)
 
 
