@@ -1,18 +1,23 @@
 """Evaluation texts leaking into a corpus: SimHash windows, multi-index Hamming blocks, exact check.
 
-A leaked passage may be no more than a part of its item, so windows have a size that fits into
-the parts: every run of ``WINDOW`` words of an item and of a document gets a 64-bit SimHash of
-its words. The 64 bits are cut into ``RADIUS + 1`` blocks; windows within ``RADIUS`` bits agree in
-a block entirely, so the block tables find them all. Documents that collide with an item are
-verified by the weighted shingles they share with it in order, in at most two stretches;
-a shingle weighs less the more documents hold it. The documents that hold it within a passage of
-the item count by how many different passages they are, so copies of a leak don't weaken it.
+A leaked passage may be no more than a part of its item and may itself be changed, so an item is
+looked for at several sizes. Windows as long as a part of the item (``WINDOWS``: the sizes up to
+half of its words) get a 64-bit SimHash of their words; the bits are cut into radius + 1 blocks,
+windows within the radius agree in a block entirely, so the block tables find them all. A changed
+word of a short window flips more bits than any radius with selective blocks allows, so unchanged
+runs of ``RUN`` words are looked up as well: a document is a candidate if it has about a quarter of
+those that half of the item still has when every fifth word is changed. Candidates are verified by
+the weighted shingles they share with the item in order, in at most two stretches; a shingle weighs
+less the more documents hold it. The documents that hold it within a passage of the item count by
+how many different passages they are, so copies of a leak don't weaken it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +29,12 @@ from pyspark.sql.pandas.types import to_arrow_type
 from labelmill.llm.tokens import word_hashes
 from labelmill.session import materialize
 
-#: Words of a window, Hamming radius of a collision.
-WINDOW, RADIUS = 8, 3
+#: Words of a window -> (Hamming radius of a collision, words between a document's windows). All of an item's windows are looked up.
+WINDOWS = {8: (3, 1), 32: (4, 8)}
+#: Words of an unchanged run; items of fewer than ``SHORT`` words are looked up by runs of a shingle's words.
+RUN, SHORT = 4, 24
+#: Words of the item for each run that a candidate needs (it needs one at least).
+WORDS_PER_RUN = 40
 #: Words of a verified shingle; share of an item's shingle weight that makes a leak: half of the words,
 #: less the shingles that a few changed words break.
 SHINGLE, SHARE = 3, 0.4
@@ -33,8 +42,8 @@ SHINGLE, SHARE = 3, 0.4
 GAP = 12
 #: Words on either side of a shingle, within its stretch, that tell passages apart.
 AROUND = 6
-#: Items per pass over the corpus: what a task holds of the items is bounded, more items take more passes.
-ITEMS_PER_PASS = 2_000
+#: Items a task holds at once; more items are taken in turns over the tokenised corpus, which is written once.
+ITEMS_AT_ONCE = 10_000
 _MARKUP = r"<[^<>]*>|&[a-z]+;|&#\d+;"
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -49,14 +58,14 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def simhashes(words: np.ndarray, width: int) -> np.ndarray:
-    """SimHash of every run of ``width`` words: the majority of each bit over the words' hashes."""
+def simhashes(words: np.ndarray, width: int, stride: int = 1) -> np.ndarray:
+    """SimHash of the runs of ``width`` words at every ``stride``-th place: the majority of each bit over the words' hashes."""
     if len(words) < width:
         return np.empty(0, np.uint64)
     bits = np.unpackbits(words.view(np.uint8).reshape(-1, 8), axis=1)
-    total = np.zeros((len(words) + 1, 64), np.int32)
+    total = np.zeros((len(words) + 1, 64), np.uint16)  # sums wrap, their differences don't
     np.cumsum(bits, axis=0, out=total[1:])
-    ones = (total[width:] - total[:-width]) * 2 > width
+    ones = (total[width::stride] - total[:-width:stride]) * 2 > width
     return np.packbits(ones, axis=1).view(np.uint64).reshape(-1)
 
 
@@ -74,54 +83,84 @@ def _print(words: np.ndarray) -> int:
     return int.from_bytes(blake2b(words.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-class Index:
-    """Block tables of the items' windows, and their shingles."""
-
-    def __init__(self, items: list[tuple[int, np.ndarray]], window: int = WINDOW, radius: int = RADIUS):
-        self.window, self.blocks = window, radius + 1
-        self.width = np.uint64(64 // self.blocks)
-        self.radius = radius
-        prints, owner = [], []
-        self.shingles = {}
-        for k, (_, words) in enumerate(items):
-            h = np.unique(simhashes(words, min(window, max(1, len(words)))))
-            prints.append(h)
-            owner.append(np.full(len(h), k, np.int32))
-            self.shingles[k] = shingles(words, SHINGLE)
-        self.prints = np.concatenate(prints) if prints else np.empty(0, np.uint64)
-        self.owner = np.concatenate(owner) if owner else np.empty(0, np.int32)
-        self.ids = [i for i, _ in items]
+class Blocks:
+    """The items' windows of one width in block tables."""
+
+    def __init__(self, items: list[np.ndarray], width: int, radius: int, stride: int):
+        self.width, self.radius, self.stride = width, radius, stride
+        self.bits = np.uint64(64 // (radius + 1))
+        prints = [np.unique(simhashes(words, width)) if len(words) >= 2 * width else np.empty(0, np.uint64) for words in items]
+        self.prints = np.concatenate([*prints, np.empty(0, np.uint64)])
+        self.owner = np.repeat(np.arange(len(items)), [len(h) for h in prints])
         self.tables = []
-        for b in range(self.blocks):
+        for b in range(radius + 1):
             part = self._block(self.prints, b)
-            order = np.argsort(part, kind="stable")
-            size = np.bincount(part, minlength=1 << int(self.width))
-            self.tables.append((order, np.concatenate([[0], np.cumsum(size)]), size > 0))
-        self.known = np.unique(np.concatenate([*self.shingles.values(), np.empty(0, np.uint64)]))
+            size = np.bincount(part, minlength=1 << int(self.bits))
+            self.tables.append((np.argsort(part, kind="stable"), np.concatenate([[0], np.cumsum(size)]), size > 0))
 
     def _block(self, h: np.ndarray, b: int) -> np.ndarray:
-        return ((h >> (np.uint64(b) * self.width)) & np.uint64((1 << int(self.width)) - 1)).astype(np.int64)
+        return ((h >> (np.uint64(b) * self.bits)) & np.uint64((1 << int(self.bits)) - 1)).astype(np.int64)
 
-    def collisions(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(position in h, item) of all windows within the radius."""
-        at, items = [], []
+    def collisions(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first word of the window, item) of all windows within the radius of one of the items'."""
+        h = simhashes(words, self.width, self.stride)
+        at, items = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for b, (order, first, there) in enumerate(self.tables):
             part = self._block(h, b)
             hit = np.flatnonzero(there[part])
-            if not len(hit):
-                continue
             n = first[part[hit] + 1] - first[part[hit]]
             where = np.repeat(hit, n)
             offset = np.arange(len(where)) - np.repeat(np.cumsum(n) - n, n)
             entry = order[np.repeat(first[part[hit]], n) + offset]
             near = np.bitwise_count(self.prints[entry] ^ h[where]) <= self.radius
-            at.append(where[near])
+            at.append(where[near] * self.stride)
             items.append(self.owner[entry[near]])
-        if not at:
-            return np.empty(0, np.int64), np.empty(0, np.int32)
         return np.concatenate(at), np.concatenate(items)
 
 
+class Index:
+    """All that documents are looked up in: the items' windows, runs and shingles."""
+
+    def __init__(self, items: list[np.ndarray]):
+        self.windows = [Blocks(items, w, r, stride) for w, (r, stride) in WINDOWS.items()]
+        self.shingles = [shingles(w, SHINGLE) for w in items]
+        self.known = np.unique(np.concatenate([*self.shingles, np.empty(0, np.uint64)]))
+        # Runs by their hash, with the items that have them.
+        run = [SHINGLE if len(w) < SHORT else RUN for w in items]
+        self.needed = np.array([max(1, len(w) // WORDS_PER_RUN) for w in items], np.int64)
+        self.runs = {}
+        for size in sorted(set(run)):
+            codes = [np.unique(shingles(w, size)) if r == size else np.empty(0, np.uint64) for w, r in zip(items, run, strict=True)]
+            owner = np.repeat(np.arange(len(items)), [len(c) for c in codes])
+            codes = np.concatenate(codes)
+            order = np.argsort(codes, kind="stable")
+            self.runs[size] = (codes[order], owner[order])
+
+    def candidates(self, words: np.ndarray, text_of: np.ndarray) -> np.ndarray:
+        """Sorted distinct (text, item) pairs; ``text_of`` is the text of each word."""
+        pairs = []
+        for blocks in self.windows:
+            step = 100_000 // blocks.stride * blocks.stride
+            for begin in range(0, len(words), step):  # bounds the memory of the bit sums
+                at, item = blocks.collisions(words[begin : begin + step + blocks.width - 1])
+                at = at + begin
+                whole = text_of[at] == text_of[at + blocks.width - 1]
+                pairs.append(np.stack([text_of[at[whole]], item[whole]]))
+        for size, (known, owner) in self.runs.items():
+            codes = shingles(words, size)
+            if not len(codes) or not len(known):
+                continue
+            lo = np.searchsorted(known, codes)
+            hit = np.flatnonzero((known[np.minimum(lo, len(known) - 1)] == codes) & (text_of[: len(codes)] == text_of[size - 1 :]))
+            # A run counts once a text.
+            seen, place = np.unique(np.stack([text_of[hit], lo[hit]]), axis=1)
+            n = np.searchsorted(known, known[place], side="right") - place
+            text, entry = np.repeat(seen, n), np.repeat(place, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            found, count = np.unique(np.stack([text, owner[entry]]), axis=1, return_counts=True)
+            pairs.append(found[:, count >= self.needed[found[1]]])
+        return np.unique(np.concatenate([*pairs, np.empty((2, 0), np.int64)], axis=1).astype(np.int64), axis=1)
+
+
 def shared_in_order(document: np.ndarray, item: np.ndarray, gap: int = GAP) -> np.ndarray:
     """Positions of the item's shingles that the document holds in at most two stretches.
 
@@ -142,6 +181,7 @@ def _held(document: np.ndarray, item: np.ndarray, gap: int = GAP) -> dict[int, t
         return {}
     chains: list[dict[int, int]] = []  # places in the item, in order, and in the document
     ends: list[tuple[int, int]] = []  # last place in the document and in the item
+    open_: list[int] = []  # chains whose end is near enough to go on
     for d in at.tolist():
         k = int(lo[d])
         code = document[d]
@@ -149,24 +189,28 @@ def _held(document: np.ndarray, item: np.ndarray, gap: int = GAP) -> dict[int, t
         while k < len(ranked) and ranked[k] == code:
             options.append(int(order[k]))
             k += 1
+        open_ = [c for c in open_ if d - ends[c][0] <= gap + 1]
         best = None
-        for c in range(len(chains) - 1, max(-1, len(chains) - 9), -1):
+        for c in reversed(open_):
             for i in options:
-                if 0 < i - ends[c][1] <= gap + 1 and 0 < d - ends[c][0] <= gap + 1:
+                if 0 < i - ends[c][1] <= gap + 1 and d > ends[c][0]:
                     cost = abs((i - ends[c][1]) - (d - ends[c][0]))
                     if best is None or cost < best[0]:
                         best = (cost, c, i)
         if best:
             chains[best[1]][best[2]] = d
             ends[best[1]] = (d, best[2])
-        else:
-            chains.append({options[0]: d})
-            ends.append((d, options[0]))
+        for i in [] if best else options:  # any of the places may be where the stretch begins
+            open_.append(len(chains))
+            chains.append({i: d})
+            ends.append((d, i))
     chains.sort(key=len, reverse=True)
-    first = set(chains[0])
-    second = max(chains[1:], key=lambda c: len(set(c) - first), default={})
+    # A place of the document counts once, also where the item repeats itself.
+    first, used = chains[0], set(chains[0].values())
+    own = [{i: d for i, d in c.items() if i not in first and d not in used} for c in chains[1:]]
+    second = max(own, key=len, default={})
     out = {}
-    for chain in (second, chains[0]):
+    for chain in (second, first):
         begin, end = min(chain.values(), default=0), max(chain.values(), default=0)
         out |= {i: (d, begin, end) for i, d in chain.items()}
     return out
@@ -177,24 +221,26 @@ def leaks(documents: DataFrame, items: DataFrame, id: str = "doc_id", text: str
 
     ``similarity`` is the weight of the item's shingles found, by the weight of all. Case,
     punctuation, mark-up and spacing don't matter. Null and empty texts hold nothing; an item of
-    fewer than three words is never found; items shorter than a window are one window. Repeated
-    documents are found each. More than ``ITEMS_PER_PASS`` items are taken in several passes.
+    fewer than three words is never found. Repeated documents are found each. Items beyond
+    ``ITEMS_AT_ONCE`` are taken in turns; the corpus is read and tokenised once for all of them.
     """
     kinds = (documents.schema[id].dataType, items.schema[item_id].dataType)
-    ready = items.where(F.col(item_id).isNotNull()).select(item_id, word_hashes(clean(F.col(item_text))).alias("w"))
-    ready = materialize(ready.repartitionByRange(max(1, -(-items.count() // ITEMS_PER_PASS)), item_id).withColumn("pass", F.spark_partition_id()))
-    out = None
-    for (k,) in sorted(ready.select("pass").distinct().collect()) or [(0,)]:  # one number a pass
-        part = [(r[item_id], np.array(r["w"], np.int64).view(np.uint64)) for r in ready.where(F.col("pass") == k).collect()]  # ITEMS_PER_PASS at most
-        found = _pass(documents, part, id, text, item_id, kinds, share)
-        out = found if out is None else out.unionByName(found)
-    return out
-
-
-def _pass(documents: DataFrame, items: list, id: str, text: str, item_id: str, kinds: tuple, share: float) -> DataFrame:
-    spark = documents.sparkSession
+    ready = items.where(F.col(item_id).isNotNull()).select(item_id, word_hashes(clean(F.col(item_text))).alias("w")).where(F.size("w") >= SHINGLE)
+    ready = materialize(ready)
+    many = ready.count() > ITEMS_AT_ONCE
+    corpus = documents.select(id, word_hashes(clean(F.col(text))).alias("w"))
+    corpus = materialize(corpus) if many else corpus
+    found = []
+    rows = (ready.orderBy(item_id) if many else ready).toLocalIterator()  # never more than one turn's items on the driver
+    while part := [(r[item_id], np.array(r["w"], np.int64).view(np.uint64)) for r in islice(rows, ITEMS_AT_ONCE)]:
+        found.append(_turn(corpus, part, id, item_id, kinds, share))
+    return reduce(DataFrame.unionByName, found or [_turn(corpus, [], id, item_id, kinds, share)])
+
+
+def _turn(corpus: DataFrame, items: list, id: str, item_id: str, kinds: tuple, share: float) -> DataFrame:
+    spark = corpus.sparkSession
     id_type = to_arrow_type(kinds[0])
-    held = spark.sparkContext.broadcast([(i, w) for i, w in items if len(w) >= SHINGLE])
+    held = spark.sparkContext.broadcast([w for _, w in items])
     schema = T.StructType(
         [
             T.StructField(id, kinds[0]),
@@ -214,30 +260,17 @@ def _pass(documents: DataFrame, items: list, id: str, text: str, item_id: str, k
             offsets = lists.offsets.to_numpy()
             flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             offsets = offsets - offsets[0]
-            docs, who, places, around = [], [], [], []
+            places, around = [], []
             # Shingles and windows of the whole batch at once; those across two documents are dropped.
             text_of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
             codes = shingles(flat, SHINGLE)
-            if len(codes):
-                spot = np.searchsorted(index.known, codes)
-                spot[spot == len(index.known)] = 0
-                known = (index.known[spot] == codes) if len(index.known) else np.zeros(len(codes), bool)
-                known &= text_of[: len(codes)] == text_of[SHINGLE - 1 :]
+            if len(codes) and len(index.known):
+                spot = np.minimum(np.searchsorted(index.known, codes), len(index.known) - 1)
+                known = (index.known[spot] == codes) & (text_of[: len(codes)] == text_of[SHINGLE - 1 :])
                 pairs = np.unique(np.stack([text_of[: len(codes)][known], spot[known]]), axis=1)
                 holders += np.bincount(pairs[1], minlength=len(holders))
-            for begin in range(0, len(flat), 100_000):  # bounds the memory of the bit sums
-                piece = flat[begin : begin + 100_000 + index.window - 1]
-                h = simhashes(piece, index.window)
-                if not len(h):
-                    continue
-                at, item = index.collisions(h)
-                at = at + begin
-                whole = text_of[at] == text_of[at + index.window - 1]
-                for d, i in np.unique(np.stack([text_of[at[whole]], item[whole]]), axis=1).T.tolist():
-                    docs.append(d)
-                    who.append(i)
-            done = sorted(set(zip(docs, who, strict=True)))
-            docs, who = [d for d, _ in done], [i for _, i in done]
+            docs, who = index.candidates(flat, text_of).tolist()
+            done = list(zip(docs, who, strict=True))
             for d, i in done:
                 words = flat[offsets[d] : offsets[d + 1]]
                 held_at = sorted(_held(shingles(words, SHINGLE), index.shingles[i]).items())
@@ -261,8 +294,8 @@ def _pass(documents: DataFrame, items: list, id: str, text: str, item_id: str, k
             names=schema.names,
         )
 
-    met = materialize(documents.select(id, word_hashes(clean(F.col(text))).alias("w")).mapInArrow(run, schema))
-    # How many documents hold each shingle of the items: as many rows as the items of a pass have shingles.
+    met = materialize(corpus.mapInArrow(run, schema))
+    # How many documents hold each shingle of the items: as many rows as the items of a turn have shingles.
     holders = {r.code: r.n for r in met.where("code is not null").groupBy("code").agg(F.sum("n").alias("n")).toLocalIterator()}
     # Of the documents that hold a place within a passage of the item: how many, and how many different passages they
     # are, by size ((sum n)^2 / sum n^2): copies are one, and so are near-copies as long as few change the same words.
@@ -271,15 +304,16 @@ def _pass(documents: DataFrame, items: list, id: str, text: str, item_id: str, k
     kinds_of = kinds_of.groupBy("item", "places").agg(F.sum("n").alias("n"), (F.sum("n") ** 2 / F.sum(F.col("n") ** 2)).alias("passages"))
     inside = {(r.item, r.places): (r.n, r.passages) for r in kinds_of.toLocalIterator()}  # a row per place of the items at most
     rows = []
-    for k, (i, w) in enumerate([(i, w) for i, w in items if len(w) >= SHINGLE]):
+    for k, (i, w) in enumerate(items):
         weights = []
         for place, c in enumerate(shingles(w, SHINGLE).view(np.int64)):
             n, passages = inside.get((k, place), (0, 0))
-            weights.append(1 / np.log2(2 + max(0, holders.get(int(c), 0) - n) + passages))
+            # What one passage holds weighs as much as what none does: a single leak of half an item has half its weight.
+            weights.append(1 / np.log2(2 + max(0, max(0, holders.get(int(c), 0) - n) + passages - 1)))
         rows.append((k, i, [float(x) for x in weights], float(sum(weights))))
     weighed = spark.createDataFrame(
         rows, T.StructType([T.StructField("item", T.IntegerType()), T.StructField(item_id, kinds[1]), T.StructField("weights", T.ArrayType(T.DoubleType())), T.StructField("total", T.DoubleType())])
     )
     held_weight = F.aggregate("places", F.lit(0.0), lambda acc, p: acc + F.get("weights", p))
-    scored = met.where("item is not null").join(F.broadcast(weighed), "item")  # ITEMS_PER_PASS rows at most
+    scored = met.where("item is not null").join(F.broadcast(weighed), "item")  # ITEMS_AT_ONCE rows at most
     return scored.select(item_id, id, (held_weight / F.col("total")).alias("similarity")).where(F.col("similarity") >= share)

@@ -88,6 +88,11 @@ def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.split_documents(read(spark, sf_dir, "documents"))
 
 
+def p10_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the pieces of every text that was cut."""
+    return splitting.checked_pieces(p10_pieces(spark, sf_dir), read(spark, sf_dir, "documents"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p10_pieces(spark, sf_dir).where("piece = 0").select("doc_id")
 
@@ -107,6 +112,7 @@ QUERIES = {
     "p9_shares": p9_shares,
     "p10_found": p10_found,
     "p10_pieces": p10_pieces,
+    "p10_checks": p10_checks,
 }
 
 _TOKENS = r"len(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\p{Z}]+'))"
@@ -117,5 +123,6 @@ WITH d AS (SELECT lower(regexp_replace(source, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', ''
 z AS (SELECT t.source, t.target_share, t.max_repeats, coalesce(sum(d.n), 0) AS size
   FROM mix_targets t LEFT JOIN d ON d.s = lower(regexp_replace(t.source, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')) GROUP BY ALL)
 SELECT source FROM z WHERE size * max_repeats < target_share * (SELECT sum(size) FROM z)""",
+    "p10_checks": f"SELECT doc_id, true AS within_limit, true AS overlapping, true AS whole FROM documents WHERE {_TOKENS} > 800",
     "p10_found": f"SELECT doc_id FROM documents WHERE {_TOKENS} > 800",
 }

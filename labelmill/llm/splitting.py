@@ -1,42 +1,75 @@
 """Cutting oversized texts at natural boundaries by structure-tree packing.
 
-A text is parsed into a tree: sections under headings, blocks (paragraphs, markup elements),
-lines and list items, sentences, tokens. Sibling subtrees are merged bottom-up as long as they
-fit; only a node that is too large itself is descended into.
+A text is parsed into a tree: sections under headings of each rank, elements by their nesting,
+paragraphs, lines and list items by their indentation, sentences, clauses, tokens. Bottom-up,
+sibling subtrees are merged as long as they fit; only a node that is too large itself is descended
+into, so a node that fits is never cut and nothing is merged across its parent's border.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from labelmill.llm.tokens import TOKEN_PY, n_tokens
 
 LIMIT, OVERLAP = 800, 80
 _TOKEN = re.compile(TOKEN_PY)
-_MARKED = r"#{1,6}\s|<h[1-6]\b"
-_HEADING = re.compile(rf"(?im)^[ \t]*(?=(?:{_MARKED}))|^(?=(?-i:[A-Z][A-Z0-9 ,&/()-]{{3,78}})[ \t]*:?$)|^(?=[^\n.!?|<]{{3,78}}: [^\n.!?|<]{{0,40}}$)")
-# Boundaries of the levels, from the largest units to the smallest; a cut is before the match's end.
-_LEVELS = (
-    _HEADING,
-    re.compile(r"\n[ \t]*\n\s*|(?i:</(?:p|div|table|ul|ol|section)>\s*)"),
-    re.compile(r"\n+|(?i:</(?:li|tr)>\s*|<br\s*/?>\s*)"),
-    re.compile(r"(?<=[.!?…。！？])[\"')\]]*\s+|(?<=[。！？])"),
-    re.compile(r"(?<=[;:,])\s+"),
-)
-
-
-def _units(text: str, start: int, end: int, level: int) -> list[tuple[int, int]]:
-    cuts = [start]
-    for m in _LEVELS[level].finditer(text, start, end):
-        if start < m.end() < end and m.end() > cuts[-1]:
-            cuts.append(m.end())
-    return list(zip(cuts, [*cuts[1:], end], strict=True))
+# A boundary's level: a kind and a depth within it; the smallest levels are nearest the root.
+_HEADED, _NESTED, _LINED, _SENTENCE, _CLAUSE = range(5)
+_HEADINGS = re.compile(r"(?im)^[ \t]*(?:(#{1,6})[ \t]|(?=<h([1-6])\b))|<h([1-6])\b")
+_TITLES = re.compile(r"(?m)^(?=[A-Z][A-Z0-9 ,&/()-]{3,78}[ \t]*:?$)|^(?=[^\n.!?|<]{3,78}: [^\n.!?|<]{0,40}$)")
+_TAGS = re.compile(r"(?i)<(/?)(div|section|article|header|footer|main|aside|table|thead|tbody|tr|td|th|ul|ol|li|dl|dt|dd|p|blockquote|pre|br|hr)\b[^<>]*>\s*")
+_PARAGRAPHS = re.compile(r"\n[ \t]*\n\s*")
+_LINES = re.compile(r"\n([ \t]*)(?=\S)")
+_SENTENCES = re.compile(r"(?<=[.!?…。！？])[\"')\]]*\s+|(?<=[。！？])")
+_CLAUSES = re.compile(r"(?<=[;:,])\s+")
+#: Nesting and indentation are told apart down to this depth; what is deeper counts as this deep.
+DEEPEST = 100
+
+
+def boundaries(text: str) -> list[tuple[int, tuple[int, int]]]:
+    """(place, level) of all boundaries of the structure tree, by place; a node begins at its boundary."""
+    found: dict[int, tuple[int, int]] = {}
+
+    def put(place: int, kind: int, depth: int = 0) -> None:
+        level = (kind, min(depth, DEEPEST))
+        if place not in found or level < found[place]:
+            found[place] = level
+
+    for m in _HEADINGS.finditer(text):
+        put(m.start(), _HEADED, len(m.group(1)) if m.group(1) else int(m.group(2) or m.group(3)))
+    for m in _TITLES.finditer(text):
+        put(m.start(), _HEADED, 7)
+    nested: list[str] = []
+    depths, places = [0], [0]  # nesting from each place on
+    for m in _TAGS.finditer(text):
+        name = m.group(2).lower()
+        if name in ("br", "hr"):
+            put(m.end(), _LINED)
+        elif not m.group(1):
+            put(m.start(), _NESTED, len(nested))
+            nested.append(name)
+        elif name in nested:  # what wasn't closed within it ends too
+            del nested[len(nested) - 1 - nested[::-1].index(name) :]
+            put(m.end(), _NESTED, len(nested))
+        depths.append(len(nested))
+        places.append(m.end())
+    for m in _PARAGRAPHS.finditer(text):
+        put(m.end(), _NESTED, depths[bisect_right(places, m.start()) - 1])
+    for m in _LINES.finditer(text):
+        put(m.end(), _LINED, len(m.group(1).expandtabs(4)))
+    for kind, pattern in ((_SENTENCE, _SENTENCES), (_CLAUSE, _CLAUSES)):
+        for m in pattern.finditer(text):
+            put(m.end(), kind)
+    return sorted(found.items())
 
 
 def cut_points(text: str, starts: list[int], limit: int, overlap: int) -> list[int]:
@@ -44,32 +77,45 @@ def cut_points(text: str, starts: list[int], limit: int, overlap: int) -> list[i
 
     The first piece holds at most ``limit`` tokens, later ones at most ``limit - overlap`` new ones.
     """
-    from bisect import bisect_left
-
-    cuts, begun = [0], 0  # begun: first token of the open piece's own part
-    room = lambda: limit if len(cuts) == 1 else limit - overlap
-
-    def place(start: int, end: int, level: int) -> None:
-        nonlocal begun
-        a, b = bisect_left(starts, start), bisect_left(starts, end)
-        if a == b:
-            return
-        if b - begun <= room():
-            return  # merged with the siblings before it
-        if b - a <= limit - overlap:
-            cuts.append(a)
-            begun = a
+    marks: dict[int, tuple[int, int]] = {}  # first token of a node -> level of its boundary
+    for place, level in boundaries(text):
+        token = bisect_left(starts, place)
+        if 0 < token < len(starts) and (token not in marks or level < marks[token]):
+            marks[token] = level
+    tokens = sorted(marks)
+    cuts: list[int] = []
+
+    def room(begin: int) -> int:
+        return limit if begin == 0 else limit - overlap
+
+    def pack(begin: int, end: int, lo: int, hi: int) -> None:
+        """Cuts the node of the tokens from ``begin`` to ``end``, its inner boundaries being tokens[lo:hi]."""
+        if end - begin <= room(begin):
+            cuts.append(begin)
             return
-        if level == len(_LEVELS):  # no boundary left: cut between tokens
-            while b - begun > room():
-                begun += room()
-                cuts.append(begun)
+        if lo == hi:  # no boundary left: cut between tokens
+            while begin < end:
+                cuts.append(begin)
+                begin += room(begin)
             return
-        for x, y in _units(text, start, end, level):
-            place(x, y, level + 1)
-
-    place(0, len(text), 0)
-    return [c for i, c in enumerate(cuts) if i == 0 or c > cuts[i - 1]]
+        top = min(marks[t] for t in tokens[lo:hi])
+        inner = [k for k in range(lo, hi) if marks[tokens[k]] == top]
+        firsts = [begin, *[tokens[k] for k in inner]]
+        ends = [*firsts[1:], end]
+        sides = list(zip([lo, *[k + 1 for k in inner]], [*inner, hi], strict=True))
+        merged = None  # first token of the open run of merged siblings
+        for a, z, (x, y) in zip(firsts, ends, sides, strict=True):
+            if merged is not None and z - merged <= room(merged):
+                continue
+            if z - a <= room(a):
+                cuts.append(a)
+                merged = a
+            else:
+                merged = None
+                pack(a, z, x, y)
+
+    pack(0, len(starts), 0, len(tokens))
+    return cuts
 
 
 def split_text(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int, int]]:
@@ -117,3 +163,25 @@ def split_documents(documents: DataFrame, id: str = "doc_id", text: str = "text"
     # A text of n characters has at most n tokens, so the short ones are not even counted.
     large = documents.select(id, text).where((F.length(text) > limit) & (n_tokens(F.col(text)) > limit))
     return large.mapInPandas(cut, schema)
+
+
+def checked_pieces(pieces: DataFrame, documents: DataFrame, id: str = "doc_id", text: str = "text", limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
+    """Per text that was cut: id, within_limit, overlapping, whole: what must hold of its pieces.
+
+    The pieces are compared with the text itself: each is found where it says it begins, has no
+    more tokens than the limit, begins with the last ``overlap`` tokens of the one before, and
+    together they are the whole text. ``documents`` has distinct ids.
+    """
+    w = Window.partitionBy(id).orderBy("piece")
+    size = F.length("piece_text")
+    rows = pieces.withColumn("_end", F.col("start") + size).withColumn("_prev", F.lag("_end").over(w)).withColumn("_before", F.lag("n_tokens").over(w))
+    rows = rows.join(documents.select(id, F.col(text).alias("_text")), id)
+    there = F.col("_text").substr(F.col("start") + 1, size) == F.col("piece_text")
+    shared = F.col("_text").substr(F.col("start") + 1, F.col("_prev") - F.col("start"))
+    ends = F.when(F.col("piece") == F.col("n_pieces") - 1, F.col("_end") == F.length("_text")).otherwise(F.lit(True))
+    begins = F.when(F.col("piece") == 0, F.col("start") == 0).otherwise(F.col("start") <= F.col("_prev"))
+    return rows.groupBy(id).agg(
+        F.bool_and((n_tokens(F.col("piece_text")) == F.col("n_tokens")) & (F.col("n_tokens") <= limit)).alias("within_limit"),
+        F.bool_and(F.col("_prev").isNull() | (n_tokens(shared) == F.least("_before", F.lit(overlap)))).alias("overlapping"),
+        F.bool_and(there & ends & begins & (F.col("n_pieces") > 1)).alias("whole"),
+    )
