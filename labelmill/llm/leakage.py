@@ -38,6 +38,8 @@ WORDS_PER_RUN = 40
 #: Words of a verified shingle; share of an item's shingle weight that makes a leak: half of the words,
 #: less the shingles that a few changed words break.
 SHINGLE, SHARE = 3, 0.4
+#: Share of an item's shingles, in any order and unweighted, below which a text can't hold half of its words with few changes.
+LEAST = 0.2
 #: Words between two shared shingles that end a stretch.
 GAP = 12
 #: Words on either side of a shingle, within its stretch, that tell passages apart.
@@ -125,6 +127,12 @@ class Index:
         self.windows = [Blocks(items, w, r, stride) for w, (r, stride) in WINDOWS.items()]
         self.shingles = [shingles(w, SHINGLE) for w in items]
         self.known = np.unique(np.concatenate([*self.shingles, np.empty(0, np.uint64)]))
+        codes = [np.unique(x) for x in self.shingles]
+        self.distinct = np.array([len(x) for x in codes], np.int64)
+        place = np.searchsorted(self.known, np.concatenate([*codes, np.empty(0, np.uint64)]))
+        order = np.argsort(place, kind="stable")
+        self.holder = np.repeat(np.arange(len(items)), self.distinct)[order]
+        self.holder_at = np.concatenate([[0], np.cumsum(np.bincount(place, minlength=len(self.known)))])
         # Runs by their hash, with the items that have them.
         run = [SHINGLE if len(w) < SHORT else RUN for w in items]
         self.needed = np.array([max(1, len(w) // WORDS_PER_RUN) for w in items], np.int64)
@@ -136,6 +144,14 @@ class Index:
             order = np.argsort(codes, kind="stable")
             self.runs[size] = (codes[order], owner[order])
 
+    def enough(self, held: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+        """The (text, item) pairs of which the text has ``LEAST`` of the item's shingles; ``held``: distinct (text, known shingle)."""
+        n = self.holder_at[held[1] + 1] - self.holder_at[held[1]]
+        entry = np.repeat(self.holder_at[held[1]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        key, count = np.unique(np.repeat(held[0], n) * len(self.distinct) + self.holder[entry], return_counts=True)
+        key = key[count >= LEAST * self.distinct[key % len(self.distinct)]]
+        return pairs[:, np.isin(pairs[0] * len(self.distinct) + pairs[1], key)]
+
     def candidates(self, words: np.ndarray, text_of: np.ndarray) -> np.ndarray:
         """Sorted distinct (text, item) pairs; ``text_of`` is the text of each word."""
         pairs = []
@@ -269,7 +285,8 @@ def _turn(corpus: DataFrame, items: list, id: str, item_id: str, kinds: tuple, s
                 known = (index.known[spot] == codes) & (text_of[: len(codes)] == text_of[SHINGLE - 1 :])
                 pairs = np.unique(np.stack([text_of[: len(codes)][known], spot[known]]), axis=1)
                 holders += np.bincount(pairs[1], minlength=len(holders))
-            docs, who = index.candidates(flat, text_of).tolist()
+            met = index.candidates(flat, text_of)
+            docs, who = (index.enough(pairs, met) if met.size else met).tolist()
             done = list(zip(docs, who, strict=True))
             for d, i in done:
                 words = flat[offsets[d] : offsets[d + 1]]
