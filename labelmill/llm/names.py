@@ -233,9 +233,18 @@ def link_names(names: DataFrame, name: str = "name") -> DataFrame:
         F.count_distinct(F.when(F.col("middle").isNull(), F.col("o_middle"))).alias("n_middle"),
         F.count_distinct(F.when(F.length("first") == 1, F.when(F.length("o_first") > 1, F.col("o_first")))).alias("n_first"),
     )
-    bridges = materialize(seen.where("n_business > 1 or n_middle > 1 or n_first > 1").select("u"))
-    kept = links.join(bridges.withColumnRenamed("u", "p"), "p", "left_anti").join(bridges.withColumnRenamed("u", "q"), "q", "left_anti")
-    entity = components(kept.select("p", "q"), "p", "q").withColumnRenamed("node", "pid")
+    # Such a profile loses the links to the profiles it would join, not those to others that leave the attribute open too.
+    marks = materialize(seen.where("n_business > 1 or n_middle > 1 or n_first > 1").select("u", *[(F.col(f"n_{c}") > 1).alias(f"m_{c}") for c in ("business", "middle", "first")]))
+    kept = links.withColumn("_cut", F.lit(False))
+    for me, other, key in (("a", "b", "p"), ("b", "a", "q")):
+        bridging = F.lit(False)
+        for c in ("business", "middle"):
+            bridging |= F.coalesce(f"m_{c}", F.lit(False)) & F.col(f"{me}_{c}").isNull() & F.col(f"{other}_{c}").isNotNull()
+        initial = F.coalesce(F.length(f"{me}_first") == 1, F.lit(False)) & F.coalesce(F.length(f"{other}_first") > 1, F.lit(False))
+        bridging |= F.coalesce("m_first", F.lit(False)) & initial
+        kept = kept.join(marks.withColumnRenamed("u", key), key, "left").withColumn("_cut", F.col("_cut") | bridging).drop("m_business", "m_middle", "m_first")
+    kept = materialize(kept.where("not _cut").select("p", "q"))
+    entity = components(kept, "p", "q").withColumnRenamed("node", "pid")
     return read.join(entity, "pid", "left").select("name", F.coalesce("component", "pid").alias("entity"), "kind", "core")
 
 

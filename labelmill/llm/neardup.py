@@ -35,6 +35,8 @@ TABLES, SLOTS = 8, 5
 #: A sketch's bits differ with probability (1 - s) / 2. Colliding texts are taken to the exact check
 #: if the bits that differ are at most this many standard deviations above what the threshold gives.
 SKETCH_BITS, SKETCH_DEVIATIONS = 128, 3.0
+#: Variants that a task of the join gets, on average.
+VARIANTS_PER_TASK = 2_000_000
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -107,17 +109,17 @@ def _batch(batch: pa.RecordBatch, width: int, least: int) -> tuple[np.ndarray, n
     return rows, tags[rows], code, np.searchsorted(text, np.arange(len(rows)))
 
 
-def _hashed(df: DataFrame, text: str, group: list[str], columns: list[str]) -> DataFrame:
-    """The columns, a tag of the group and the words' hashes."""
+def _hashed(df: DataFrame, text: str, group: list[str], columns: list[str], every: bool = False) -> DataFrame:
+    """The columns, a tag of the group and the words' hashes; rows without a text only if ``every`` row is asked for."""
     tag = F.xxhash64(F.lit(0), *group)
-    return df.where(F.col(text).isNotNull()).select(*columns, tag.alias("_g"), word_hashes(F.col(text)).alias("_w"))
+    return (df if every else df.where(F.col(text).isNotNull())).select(*columns, tag.alias("_g"), word_hashes(F.col(text)).alias("_w"))
 
 
 def members(df: DataFrame, id: str, text: str, group: list[str], order: str | None, width: int = SHINGLE, least: int | None = None) -> DataFrame:
     """group, id, cls: the class of texts of a group with the same set of shingles. Texts of fewer than ``least`` words have none.
 
-    Of rows with the same id the one with the largest ``order`` counts; if that has too few words,
-    an earlier one counts.
+    Of rows with the same id the one with the largest ``order`` counts; if that has no text or too
+    few words, the id has no class.
     """
     least = least or width
     keep = [*group, id, *([order] if order else [])]
@@ -126,13 +128,14 @@ def members(df: DataFrame, id: str, text: str, group: list[str], order: str | No
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, tags, code, starts = _batch(batch, width, least)
+            cls, short = np.zeros(batch.num_rows, np.int64), np.ones(batch.num_rows, bool)
             if len(rows):
-                kept = batch.select(keep).take(pa.array(rows))
-                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(_classes(code, starts, tags).view(np.int64))], names=schema.names)
+                cls[rows], short[rows] = _classes(code, starts, tags).view(np.int64), False
+            yield pa.RecordBatch.from_arrays([*batch.select(keep).columns, pa.array(cls, mask=short)], names=schema.names)
 
-    out = _hashed(df, text, group, keep).mapInArrow(run, schema)
+    out = _hashed(df, text, group, keep, every=True).mapInArrow(run, schema)
     # A struct, so that a row without order values keeps its class: nulls come first.
-    return out.groupBy(*group, id).agg(F.max(F.struct(*([order] if order else []), "cls"))["cls"].alias("cls"))
+    return out.groupBy(*group, id).agg(F.max(F.struct(*([order] if order else []), "cls"))["cls"].alias("cls")).where("cls is not null")
 
 
 def _most_bits(threshold: float) -> int:
@@ -155,16 +158,16 @@ def _candidates(df: DataFrame, group: list[str], text: str, width: int, threshol
             _, first = np.unique(cls, return_index=True)
             v, sketch = _variants(code, starts, tables, slots)
             v, sketch = v[first], sketch[:, first]
-            # Groups meet in variants of their own; 40 bits select well enough and shuffle in fewer bytes.
-            v = _mix(v ^ tags[first][:, None]) & np.uint64(0xFFFFFFFFFF)
+            # Groups meet in variants of their own.
+            v = _mix(v ^ tags[first][:, None])
             arrays = [*[np.repeat(x, v.shape[1]) for x in (cls[first], *sketch)], v.reshape(-1)]
             whole = pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in arrays], names=schema.names)
             for k in range(0, whole.num_rows, 50_000):
                 yield whole.slice(k, 50_000)
 
     emitted = _hashed(df, text, group, []).mapInArrow(run, schema)
-    # Shuffled once: distinct and the join both use the partitioning by variant.
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Shuffled once: distinct and the join both use the partitioning by variant. Partitions stay small at any size.
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() * tables * slots // VARIANTS_PER_TASK))
     variants = emitted.repartition(n, "v").distinct()
     a, b = variants.alias("a"), variants.alias("b")
     on = [F.col("a.v") == F.col("b.v"), F.col("a.cls") < F.col("b.cls")]

@@ -70,9 +70,20 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_leaks(spark, sf_dir).select("item_id", "doc_id")
 
 
+def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "mix_targets"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sizes = mixing.source_sizes(read(spark, sf_dir, "documents"), read(spark, sf_dir, "mix_targets"))
-    return mixing.expected_copies(sizes).where("short").select("source")
+    """Sources that stay below their share in the mix as drawn; the exact sizes then tell chance from shortage."""
+    below = _report(spark, sf_dir).where(F.col("reached") < F.col("target_share") * F.col("total"))
+    return below.where("short").select("source")
+
+
+def p9_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source what was expected of the mix and whether the mix fits it."""
+    rows = _report(spark, sf_dir)
+    return rows.select("source", "size", "n_documents", F.round("copies", 6).alias("copies"), "short", "fitting")
 
 
 def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,6 +120,7 @@ QUERIES = {
     "p8_leaks": p8_leaks,
     "p9_found": p9_found,
     "p9_mix": p9_mix,
+    "p9_checks": p9_checks,
     "p9_shares": p9_shares,
     "p10_found": p10_found,
     "p10_pieces": p10_pieces,
@@ -117,12 +129,15 @@ QUERIES = {
 
 _TOKENS = r"len(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\p{Z}]+'))"
 
+_BLANKS = r"'^[\s\p{Z}]+|[\s\p{Z}]+$'"
+_SIZES = f"""WITH d AS (SELECT lower(regexp_replace(source, {_BLANKS}, '', 'g')) AS s, coalesce({_TOKENS}, 0) AS n FROM documents),
+z AS (SELECT t.source, t.target_share, t.max_repeats, CAST(coalesce(sum(d.n), 0) AS BIGINT) AS size, count(d.s) AS n_documents
+  FROM mix_targets t LEFT JOIN d ON d.s = lower(regexp_replace(t.source, {_BLANKS}, '', 'g')) GROUP BY ALL)"""
+
 ORACLE = {
-    "p9_found": rf"""
-WITH d AS (SELECT lower(regexp_replace(source, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')) AS s, coalesce({_TOKENS}, 0) AS n FROM documents),
-z AS (SELECT t.source, t.target_share, t.max_repeats, coalesce(sum(d.n), 0) AS size
-  FROM mix_targets t LEFT JOIN d ON d.s = lower(regexp_replace(t.source, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')) GROUP BY ALL)
-SELECT source FROM z WHERE size * max_repeats < target_share * (SELECT sum(size) FROM z)""",
+    "p9_found": f"{_SIZES} SELECT source FROM z WHERE size * max_repeats < target_share * (SELECT sum(size) FROM z)",
+    "p9_checks": f"""{_SIZES}, w AS (SELECT *, target_share * (SELECT sum(size) FROM z) AS wanted FROM z)
+SELECT source, size, n_documents, round(CASE WHEN size > 0 THEN least(max_repeats, wanted / size) ELSE 0 END, 6) AS copies, size * max_repeats < wanted AS short, true AS fitting FROM w""",
     "p10_checks": f"SELECT doc_id, true AS within_limit, true AS overlapping, true AS whole FROM documents WHERE {_TOKENS} > 800",
     "p10_found": f"SELECT doc_id FROM documents WHERE {_TOKENS} > 800",
 }

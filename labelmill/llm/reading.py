@@ -23,8 +23,7 @@ from labelmill.session import materialize
 
 #: Share of a text's word tokens that the vocabulary must cover.
 SHARE = 0.5
-#: Ranks beyond this count as this: words so rare are all "rarer than the ranked vocabulary". It
-#: bounds what every task holds, not which texts or words are counted.
+#: Words that every task holds. Texts whose coverage needs a rarer word are ranked against the whole vocabulary by a join.
 RANKS = 65_536
 #: Texts of fewer words have no level.
 MIN_WORDS = 20
@@ -32,17 +31,51 @@ _SENTENCE = r"[.!?]+(?:\s|$)|[\n;•·‣◦]+"
 _MARKUP = r"<[^<>]*>"
 
 
+def word_counts(df: DataFrame, text: str) -> DataFrame:
+    """word, n of all texts, mark-up left out. Words without a letter are left out too: numbers are not vocabulary."""
+    plain = F.regexp_replace(F.col(text), _MARKUP, "\n")
+    return df.select(F.explode(words(plain)).alias("word")).where(F.col("word").rlike(r"\p{L}")).groupBy("word").agg(F.count("*").alias("n"))
+
+
 def vocabulary(df: DataFrame, text: str, ranks: int = RANKS) -> DataFrame:
-    """word, n, rank of the ``ranks`` most frequent words of all texts; ties by word.
+    """word, n, rank of the ``ranks`` most frequent words of all texts; ties by word."""
+    return _top(word_counts(df, text), ranks)
 
-    Words without a letter are left out: numbers are not vocabulary. The ranking is a top-k, so it
-    is taken from sorted partitions without a sort of the whole vocabulary.
-    """
-    counts = df.select(F.explode(words(F.col(text))).alias("word")).where(F.col("word").rlike(r"\p{L}")).groupBy("word").agg(F.count("*").alias("n"))
+
+def _top(counts: DataFrame, ranks: int) -> DataFrame:
+    """A top-k, so it is taken from sorted partitions without a sort of the whole vocabulary."""
     top = counts.orderBy(F.desc("n"), "word").limit(ranks)
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "word")))  # at most ``ranks`` rows
 
 
+def _rare_ranks(counts: DataFrame) -> DataFrame:
+    """n, rank: how many words are at least as frequent; words of one frequency enter a vocabulary together.
+
+    One row per frequency that occurs; they are summed up over the square root of their number of
+    blocks, so no task sees more than a block.
+    """
+    sizes = counts.groupBy("n").agg(F.count("*").alias("words")).withColumn("block", F.floor(F.log2(F.col("n").cast("double")) * 64))
+    within = F.sum("words").over(Window.partitionBy("block").orderBy(F.desc("n")))
+    above = F.coalesce(F.sum("block_words").over(Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = sizes.groupBy("block").agg(F.sum("words").alias("block_words")).select("block", above.alias("above"))  # 64 rows per doubling of n
+    return sizes.withColumn("within", within).join(blocks, "block").select("n", (F.col("above") + F.col("within")).alias("rank"))
+
+
+def rare_coverage(df: DataFrame, id: list[str], text: str, counts: DataFrame, share: float = SHARE) -> DataFrame:
+    """id, coverage_rank of texts against the whole vocabulary, by joins: exact whatever its size. Ids are distinct.
+
+    A text's words are counted before they meet the vocabulary; a text's row of frequencies is as
+    long as the text at most.
+    """
+    plain = F.regexp_replace(F.col(text), _MARKUP, "\n")
+    tokens = df.select(*id, F.explode(words(plain)).alias("word")).where(F.col("word").rlike(r"\p{L}")).groupBy(*id, "word").agg(F.count("*").alias("times"))
+    known = tokens.join(counts, "word").join(_rare_ranks(counts), "n")
+    sums = known.groupBy(*id, "rank").agg(F.sum("times").alias("times"))
+    w = Window.partitionBy(*id)
+    upto = sums.withColumn("upto", F.sum("times").over(w.orderBy("rank"))).withColumn("all", F.sum("times").over(w))
+    return upto.where(F.col("upto") >= F.ceil(F.col("all") * share)).groupBy(*id).agg(F.min("rank").cast("int").alias("coverage_rank"))
+
+
 def text_measures(df: DataFrame, text: str, vocab: dict[str, int], share: float = SHARE, ranks: int = RANKS) -> DataFrame:
     """Adds n_words, words_per_sentence, letters_per_word, coverage_rank to ``df`` and drops ``text``.
 
@@ -119,10 +152,16 @@ def reading_levels(df: DataFrame, id: list[str], text: str, anchors: DataFrame,
     spread). Texts of fewer than 20 words, null and empty ones have a null band. Repeated rows
     are rated each. ``anchors`` is a small table of rated texts; its bands are the classes.
     """
-    ranked = materialize(vocabulary(df, text))
-    vocab = {r.word: r.rank for r in ranked.toLocalIterator()}  # RANKS rows at most
+    counts = materialize(word_counts(df, text))
+    vocab = {r.word: r.rank for r in _top(counts, RANKS).toLocalIterator()}  # RANKS rows at most
     rated = calibrate(text_measures(anchors.select(band, F.col(anchor_text).alias(text)), text, vocab), band).collect()  # one row a band
-    measured = text_measures(df.select(*id, text), text, vocab)
+    texts = df.select(*id, text)
+    measured = text_measures(texts, text, vocab)
+    if len(vocab) == RANKS:  # only then may a text need a rarer word
+        measured = materialize(measured.withColumn("_row", F.monotonically_increasing_id()))
+        rare = measured.where(F.col("coverage_rank") > RANKS).select(*id).distinct()
+        exact = materialize(rare_coverage(texts.join(rare, id, "left_semi").dropDuplicates(id), id, text, counts).withColumnRenamed("coverage_rank", "_exact"))
+        measured = measured.join(exact, id, "left").withColumn("coverage_rank", F.when(F.col("coverage_rank") > RANKS, F.coalesce("_exact", "coverage_rank")).otherwise(F.col("coverage_rank"))).drop("_exact", "_row")
     nearest = F.lit(None).cast("string")
     if rated:
         distance = []

@@ -1,6 +1,7 @@
 """Text operators against brute force, round trips and edge cases."""
 
 import itertools
+import collections
 import random
 import re
 
@@ -353,3 +354,45 @@ def test_no_node_that_fits_is_cut(t, limit, overlap):
         for a, z in zip(edges, edges[1:]):
             if z - a <= limit - overlap:
                 assert not any(a < c < z for c in cuts)
+
+
+def test_ambiguous_names_keep_their_sound_links(spark):
+    """A name without a kind of business, near two kinds, isn't linked to either, but to its own spellings."""
+    rows = [(n,) for n in ("Vurkartonum Pharma", "Vurkartonum Labs", "Vurkartonum Inc", "Vurkartonumm Inc")]
+    got = {r.name: r.entity for r in names.link_names(spark.createDataFrame(rows, "name string")).collect()}
+    assert got["Vurkartonum Inc"] == got["Vurkartonumm Inc"] and len(set(got.values())) == 3
+
+
+def test_ranks_beyond_the_vocabulary_held(spark, monkeypatch):
+    """With a small vocabulary in the tasks the rare words' ranks come by a join: words of one frequency share a rank."""
+    rnd = random.Random(3)
+    texts = [(i, " ".join(rnd.choice(["the", "of", f"w{rnd.randrange(60)}", f"r{rnd.randrange(400)}"]) for _ in range(40)) + (" <b>of</b>" if i % 5 else "")) for i in range(60)]
+    df = spark.createDataFrame(texts, "id long, text string")
+    anchors = spark.createDataFrame([("plain", "the of the of the. the of the."), ("expert", "r1 r2 r3 r4 r5 w1 w2 r6 r7")], "band string, text string")
+    monkeypatch.setattr(reading, "RANKS", 10)
+    got = {r.id: r.coverage_rank for r in reading.reading_levels(df, ["id"], "text", anchors).collect()}
+    tokens = {i: re.findall(r"[^\W_]+", re.sub("<[^<>]*>", " ", t)) for i, t in texts}
+    n = collections.Counter(w for ws in tokens.values() for w in ws)
+    top = {w: k + 1 for k, (w, _) in enumerate(sorted(n.items(), key=lambda x: (-x[1], x[0])))}
+    for i, ws in tokens.items():
+        word = sorted(ws, key=lambda w: top[w])[-(-len(ws) // 2) - 1]
+        want = top[word] if top[word] <= 10 else sum(c >= n[word] for c in n.values())
+        assert got[i] == want, (i, word)
+    assert max(got.values()) > 10
+
+
+def test_latest_delivery_decides(spark):
+    """An id whose latest text is too short, or null, has no class, whatever came before."""
+    long = " ".join(f"w{i}" for i in range(30))
+    rows = [("a", long, 1), ("a", "short", 2), ("b", long, 2), ("b", "short", 1), ("c", long, 1), ("d", long, 1), ("d", None, 2)]
+    who = neardup.members(spark.createDataFrame(rows, "id string, text string, at int"), "id", "text", [], "at")
+    assert {r.id for r in who.collect()} == {"b", "c"}
+
+
+def test_report_of_the_mix(spark):
+    docs = spark.createDataFrame([(i, "a b c d", "x" if i % 3 else "y") for i in range(300)], "doc_id long, text string, source string")
+    targets = spark.createDataFrame([("x", 0.4, 2), ("y", 0.5, 1), ("z", 0.1, 3)], "source string, target_share double, max_repeats int")
+    got = {r.source: r for r in mixing.mix_report(docs, targets).collect()}
+    assert all(r.fitting for r in got.values())
+    assert {k: r.short for k, r in got.items()} == {"x": False, "y": True, "z": True}
+    assert (got["y"].reached, got["z"].reached) == (400, 0) and abs(got["x"].reached - 0.4 * 1200) <= 4
