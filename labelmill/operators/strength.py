@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelmill.functions.unitseg import quantity
+from labelmill.session import materialize
 
 #: Relative difference up to which two quantities are equal.
 TOLERANCE = 0.001
@@ -36,7 +37,9 @@ def equal_but_written_differently(df: DataFrame, key: list[str], id: str, notati
     ready = df.where(F.col("quantity_value").isNotNull())
     for k in key:
         ready = ready.where(F.col(k).isNotNull())
-    ready = ready.withColumn("_class", F.xxhash64(*key, "quantity_kind", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in notation]))
+    notations = F.xxhash64(*key, "quantity_kind", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in notation])
+    # Written, so that the units are read once and not again for each side of the joins.
+    ready = materialize(ready.select(*key, F.col(id).alias("_id"), "quantity_kind", "quantity_value", notations.alias("_class")))
     classes = ready.groupBy(*key, "quantity_kind", "_class").agg(F.min("quantity_value").alias("_v"))
     width = F.lit(TOLERANCE)
     classes = classes.withColumn("_b", F.when(F.col("_v") > 0, F.floor(F.log("_v") / width)).otherwise(F.lit(-(2**60))))
@@ -47,7 +50,7 @@ def equal_but_written_differently(df: DataFrame, key: list[str], id: str, notati
     pairs = a.join(b, on).where((F.col("a._class") < F.col("b._class")) & close).select(
         F.col("a._class").alias("_x"), F.col("b._class").alias("_y")
     )
-    x = ready.select(F.col("_class").alias("_x"), F.col(id).alias("_i"))
-    y = ready.select(F.col("_class").alias("_y"), F.col(id).alias("_j"))
+    x = ready.select(F.col("_class").alias("_x"), F.col("_id").alias("_i"))
+    y = ready.select(F.col("_class").alias("_y"), F.col("_id").alias("_j"))
     rows = pairs.join(x, "_x").join(y, "_y").where("_i != _j")
     return rows.select(F.least("_i", "_j").alias("id_a"), F.greatest("_i", "_j").alias("id_b")).distinct()
