@@ -135,6 +135,16 @@ z AS (SELECT t.source, t.target_share, t.max_repeats, CAST(coalesce(sum(d.n), 0)
   FROM mix_targets t LEFT JOIN d ON d.s = lower(regexp_replace(t.source, {_BLANKS}, '', 'g')) GROUP BY ALL)"""
 
 ORACLE = {
+    "p2_found": r"""
+WITH d AS (
+  SELECT 'section_text' AS field, id, arg_max(coalesce(section_text, ''), created_at) AS t FROM spl_sections WHERE id IS NOT NULL GROUP BY id UNION ALL
+  SELECT 'indication_text', id, arg_max(coalesce(indication_text, ''), created_at) FROM indications WHERE id IS NOT NULL GROUP BY id
+),
+w AS (SELECT field, id, list_filter(regexp_split_to_array(lower(t), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS ws FROM d),
+g AS (SELECT field, id, unnest(list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))) AS s FROM w WHERE len(ws) >= 20),
+c AS (SELECT field, id, count(*) AS n FROM g GROUP BY ALL),
+p AS (SELECT a.field, a.id AS id_a, b.id AS id_b, count(*) AS k FROM g a JOIN g b ON a.field = b.field AND a.s = b.s AND a.id < b.id GROUP BY ALL)
+SELECT p.field, id_a, id_b FROM p JOIN c x ON x.field = p.field AND x.id = id_a JOIN c y ON y.field = p.field AND y.id = id_b WHERE k >= 0.65 * (x.n + y.n - k)""",
     "p9_found": f"{_SIZES} SELECT source FROM z WHERE size * max_repeats < target_share * (SELECT sum(size) FROM z)",
     "p9_checks": f"""{_SIZES}, w AS (SELECT *, target_share * (SELECT sum(size) FROM z) AS wanted FROM z)
 SELECT source, size, n_documents, round(CASE WHEN size > 0 THEN least(max_repeats, wanted / size) ELSE 0 END, 6) AS copies, size * max_repeats < wanted AS short, true AS fitting FROM w""",
