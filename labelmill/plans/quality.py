@@ -9,7 +9,7 @@ from labelmill.operators import metrics, upsert, validation
 from labelmill.plans.views import I, M, S
 from labelmill.sources.discover import release_links
 from labelmill.sources.tables import children, medications, read
-from labelmill.streaming.ingest import event_windows, streamed_labels
+from labelmill.streaming.ingest import event_windows, streamed_labels, streamed_windows
 
 
 def validation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +91,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         validation_messages, validation_summary, latest_versions, version_history, changed_files, first_events, key_collisions, catalog_stats, batch_stats,
-        top_errors, quality_bands, links_discover, hourly_events, streamed_labels,
+        top_errors, quality_bands, links_discover, hourly_events, streamed_windows, streamed_labels,
     )
 }
 
@@ -165,6 +165,7 @@ SELECT CASE WHEN s >= 0.9 THEN 'excellent' WHEN s >= 0.7 THEN 'good' WHEN s >= 0
     "links_discover": f"""SELECT 'https://example.org/files/dm_spl_release_human_rx_' || spl_id || '.zip' AS url, 'dm_spl_release_human_rx_' || spl_id || '.zip' AS filename
 FROM {M} WHERE document_code IS NOT NULL""",
     "hourly_events": "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL",
+    "streamed_windows": "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL",
     "streamed_labels": """
 SELECT * FROM medications WHERE set_id IS NOT NULL AND version_number IS NOT NULL QUALIFY row_number() OVER (PARTITION BY set_id, version_number ORDER BY updated_at DESC) = 1""",
 }

@@ -54,16 +54,43 @@ def event_windows(events: DataFrame, late: str = "10 minutes", window: str = "1
     )
 
 
-def table_stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A table's files as a stream."""
-    schema = spark.read.parquet(f"{sf_dir}/{table}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").load(sf_dir)
+def _as_stream(rows: DataFrame) -> DataFrame:
+    """A table written and read again file by file as a stream."""
+    rows = materialize(rows)
+    folder = rows.inputFiles()[0].rsplit("/", 1)[0]
+    return rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(folder)
+
+
+def window_table(stream: DataFrame, target: str, late: str = "10 minutes", window: str = "1 hour", checkpoint: str | None = None) -> DataFrame:
+    """:func:`event_windows` of what has arrived, open windows included; every batch writes the whole result to a folder of its own.
+
+    The state is one row per window and type. A batch that is repeated after a failure overwrites its own folder.
+    """
+    spark = stream.sparkSession
+    checkpoint = checkpoint or f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/b{batch_id:09d}")
+
+    windows = event_windows(stream, late, window)
+    query = windows.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    written = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/b*")
+    found = written.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(written)
+    last = max((f.getPath().toString() for f in found), default=None)
+    return spark.createDataFrame([], windows.schema) if last is None else spark.read.schema(windows.schema).parquet(last)
+
+
+def streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per hour and type, from the events as a stream."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))  # what a watermark takes
+    out = window_table(_as_stream(events), f"{shared_dir(spark)}/windows-{uuid.uuid4().hex}")
+    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 def streamed_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The medications table as a stream, upserted by label version."""
     target = f"{shared_dir(spark)}/labels-{uuid.uuid4().hex}"
-    rows = materialize(spark.read.parquet(f"{sf_dir}/medications.parquet").where("set_id is not null and version_number is not null"))
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(rows.inputFiles()[0].rsplit("/", 1)[0])
-    upsert_stream(stream, target, ["set_id", "version_number"], "updated_at")
+    rows = spark.read.parquet(f"{sf_dir}/medications.parquet").where("set_id is not null and version_number is not null")
+    upsert_stream(_as_stream(rows), target, ["set_id", "version_number"], "updated_at")
     return current_table(spark, target)

@@ -162,6 +162,22 @@ def test_event_windows(spark):
     assert [(r.n, r.total) for r in event_windows(df.withColumn("ts", F.to_timestamp("ts"))).collect()] == [(2, 3.0)]
 
 
+def test_windows_of_a_stream(spark, tmp_path):
+    """Two arrivals into one window, the second after a restart; nothing new changes nothing."""
+    from labelmill.streaming.ingest import window_table
+
+    src, target, check = str(tmp_path / "in"), f"file://{tmp_path}/out", f"file://{tmp_path}/check"
+    put = lambda rows: spark.createDataFrame(rows, "t string, event_type string, value double").selectExpr("to_timestamp(t) ts", "event_type", "value").coalesce(1).write.mode("append").parquet(src)
+    put([("2024-01-01 00:10:00", "x", 1.0), ("2024-01-01 01:10:00", "x", 5.0)])
+    stream = lambda: spark.readStream.schema("ts timestamp, event_type string, value double").parquet(src)
+    assert window_table(stream(), target, checkpoint=check).count() == 2
+    put([("2024-01-01 00:50:00", "x", 2.0)])
+    got = window_table(stream(), target, checkpoint=check)
+    want = [(0, 2, 3.0), (1, 1, 5.0)]
+    assert sorted((r.window_start.hour, r.n, r.total) for r in got.collect()) == want
+    assert sorted((r.window_start.hour, r.n, r.total) for r in window_table(stream(), target, checkpoint=check).collect()) == want
+
+
 def test_validation(spark):
     rows = spark.createDataFrame([("invalid-uuid", None, "20241301"), ("11111111-1111-1111-1111-111111111111", "x", "2024")], "spl_id string, t string, d string")
     got = validation.messages(rows, "spl_id", "c", [validation.uuid("spl_id"), validation.required("t"), validation.date_text("d")])
