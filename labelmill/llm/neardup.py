@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,8 +35,8 @@ TABLES, SLOTS = 8, 5
 #: A sketch's bits differ with probability (1 - s) / 2. Colliding texts are taken to the exact check
 #: if the bits that differ are at most this many standard deviations above what the threshold gives.
 SKETCH_BITS, SKETCH_DEVIATIONS = 128, 3.0
-#: Variants that a task of the join gets, on average.
-VARIANTS_PER_TASK = 2_000_000
+#: Variants that a task gets on average, and rows of one variant that are compared in one task.
+VARIANTS_PER_TASK, BLOCK = 1_000_000, 4_000
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -166,13 +166,29 @@ def _candidates(df: DataFrame, group: list[str], text: str, width: int, threshol
                 yield whole.slice(k, 50_000)
 
     emitted = _hashed(df, text, group, []).mapInArrow(run, schema)
-    # Shuffled once: distinct and the join both use the partitioning by variant. Partitions stay small at any size.
     n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() * tables * slots // VARIANTS_PER_TASK))
-    variants = emitted.repartition(n, "v").distinct()
-    a, b = variants.alias("a"), variants.alias("b")
-    on = [F.col("a.v") == F.col("b.v"), F.col("a.cls") < F.col("b.cls")]
+    # One pass over the shuffled variants keeps those that unlike classes share; a class of many copies alone is none.
+    same = Window.partitionBy("v")
+    sized = emitted.repartition(n, "v").select("*", *[f("cls").over(same).alias(c) for f, c in ((F.count, "k"), (F.min, "lo"), (F.max, "hi"))])
+    return _meet(materialize(sized.where("lo < hi").drop("lo", "hi").distinct()), threshold)
+
+
+def _meet(variants: DataFrame, threshold: float, block: int | None = None) -> DataFrame:
+    """Pairs of classes, x < y, of one variant whose sketches are near enough.
+
+    ``variants`` has cls, s0, s1, v and k, the variant's rows at most. A variant of more than
+    ``block`` (``BLOCK``) rows is cut into blocks by a hash of the class; each two blocks, and each
+    block with itself, meet under a key of their own, so no task gets all pairs and none is lost.
+    """
+    blocks = F.ceil(F.col("k") / F.lit(block or BLOCK)).cast("int")
+    mine = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
+    cells = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(F.least(i, "mine").alias("p"), F.greatest(i, "mine").alias("q")))
+    placed = variants.withColumn("blocks", blocks).withColumn("mine", mine).select("cls", "s0", "s1", "v", "mine", F.inline(cells))
+    a, b = placed.alias("a"), placed.alias("b")
+    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("v", "p", "q")] + [F.col("a.cls") < F.col("b.cls")]
+    on.append((F.col("a.mine") != F.col("b.mine")) | (F.col("a.p") == F.col("a.q")))
     differing = sum((F.bit_count(F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}"))) for c in ("s0", "s1")), F.lit(0))
-    on += [differing <= _most_bits(threshold)]
+    on.append(differing <= _most_bits(threshold))
     return a.join(b, on).select(F.col("a.cls").alias("x"), F.col("b.cls").alias("y")).distinct()
 
 

@@ -396,3 +396,12 @@ def test_report_of_the_mix(spark):
     assert all(r.fitting for r in got.values())
     assert {k: r.short for k, r in got.items()} == {"x": False, "y": True, "z": True}
     assert (got["y"].reached, got["z"].reached) == (400, 0) and abs(got["x"].reached - 0.4 * 1200) <= 4
+
+
+@pytest.mark.parametrize("block", [1, 3, 7])
+def test_hot_variant_is_split_without_loss(spark, block):
+    """A variant that many unlike classes share is cut into blocks; every pair still meets."""
+    rows = [(c, 0, 0, v, n) for v, n in ((1, 20), (2, 5), (3, 2)) for c in range(n)]
+    df = spark.createDataFrame(rows, "cls long, s0 long, s1 long, v long, k long")
+    got = sorted((r.x, r.y) for r in neardup._meet(df, 0.8, block).collect())
+    assert got == list(itertools.combinations(range(20), 2))
