@@ -2,7 +2,7 @@
 
 A name is read into a profile: kind (company, person or acronym), core (the tokens that name it,
 in any order), and attributes that tell namesakes apart (direction, kind of business, first name
-and initial). Cores are compared by the Damerau-Levenshtein distance, a true metric: every core
+and initial). Short forms of the words of cores are learnt from the names. Cores are compared by the Damerau-Levenshtein distance, a true metric: every core
 is assigned to its nearest pivot and replicated to each pivot whose cell may hold a core within
 the radius by the triangle inequality; the exact radius join runs inside the cells. Profiles whose
 cores are near and whose attributes agree are linked; spellings of linked profiles are one entity.
@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,10 @@ from labelmill.session import materialize
 RADIUS = 1
 #: Pivots of the metric space; the first ``RINGS`` also prune pairs inside a cell.
 PIVOTS, RINGS = 24, 4
+#: A word is taken for a short form of another if both stand beside so many same other words, and no other word has half as much evidence.
+SUPPORT = 3
+#: Short forms are learnt of words of ``LONG`` letters, from names of at most ``NAME_WORDS`` words; all names are then read with them.
+LONG, NAME_WORDS = (5, 30), 8
 
 # Legal forms, left out.
 LEGAL = "inc incorporated llc ltd limited co company corp corporation plc gmbh sa ag lp llp mfr the of".split()
@@ -88,8 +92,8 @@ def _near(word: str, known: str, least: int = 7) -> bool:
     return len(known) >= least and abs(len(word) - len(known)) <= 1 and len(set(word) ^ set(known)) <= 2 and distance(word, known) <= 1
 
 
-def read_name(name: str) -> dict[str, str | None]:
-    """The profile of a name: kind, core, alias (the core as typed), business, direction, first, middle, initials."""
+def read_name(name: str) -> dict[str, str | list[str] | None]:
+    """The profile of a name: kind, core, alias (the core as typed), business, direction, first, middle, initials, words (of a company's core)."""
     s = name.lower().replace("'", "").replace("’", "")
     s = re.sub(r"\b(?:[^\W\d_]\.){2,}", lambda m: m.group().replace(".", ""), s)
     s = re.sub(r"[&+]", " and ", s)
@@ -104,7 +108,7 @@ def read_name(name: str) -> dict[str, str | None]:
             business, tokens = kind, tokens[:at] + tokens[at + n :]
             break
     core = [t for t in tokens if t not in LEGAL and t != "and"] or tokens
-    out = dict.fromkeys(("kind", "core", "alias", "business", "direction", "first", "middle", "initials"))
+    out = dict.fromkeys(("kind", "core", "alias", "business", "direction", "first", "middle", "initials", "words"))
     out["business"] = business
     if business in PERSONAL:
         single = [t for t in core if len(t) == 1]
@@ -127,12 +131,13 @@ def read_name(name: str) -> dict[str, str | None]:
     out["kind"] = "acronym" if len(core) == 1 and len(core[0]) <= 5 else "company"
     out["alias"] = "".join(core)
     out["core"] = "".join(sorted(core))
+    out["words"] = core
     if len(core) >= 3:
         out["initials"] = "".join(t[0] for t in core)
     return out
 
 
-_PROFILE = T.StructType([T.StructField(c, T.StringType()) for c in ("kind", "core", "alias", "business", "direction", "first", "middle", "initials")])
+_PROFILE = T.StructType([T.StructField(c, T.StringType()) for c in ("kind", "core", "alias", "business", "direction", "first", "middle", "initials")] + [T.StructField("words", T.ArrayType(T.StringType()))])
 
 
 @F.pandas_udf(_PROFILE)
@@ -140,6 +145,53 @@ def _read(names: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([read_name(n) for n in names], columns=_PROFILE.names)
 
 
+def _short_forms(word: Column) -> Column:
+    """What a word may be shortened to: its beginnings of three letters or more, its first and two later letters, its first, two inner and last letter."""
+    n = F.length(word)
+    letter = lambda i: F.substring(word, i, F.lit(1))
+    starts = F.transform(F.sequence(F.lit(3), n - 2), lambda i: F.substring(word, F.lit(1), i))
+    two = F.flatten(F.transform(F.sequence(F.lit(2), n - 1), lambda i: F.transform(F.sequence(i + 1, n), lambda j: F.concat(letter(i), letter(j)))))
+    three = F.transform(two, lambda x: F.concat(letter(F.lit(1)), x))
+    four = F.transform(two, lambda x: F.concat(letter(F.lit(1)), x, letter(n)))
+    return F.array_distinct(F.concat(starts, three, four))
+
+
+def learn_abbreviations(read: DataFrame, support: int = SUPPORT) -> DataFrame:
+    """(short, long): words of the names that are short forms of others, learnt from the names themselves.
+
+    ``read`` has ``words``, the words of each company's core. Two words are evidence for each other where the
+    same other words stand beside both (``Vurkarto Nutr``, ``Vurkarto Nutritionals``), provided that
+    the long word has at least as many kinds of company as those other words have kinds of
+    business: words that only name few companies teach nothing. Every (rest, short form) is matched
+    by equality, so the work grows with the names. An empty table and null words give no rows.
+    """
+    at = read.where(F.size("words").between(2, NAME_WORDS)).select("words", F.posexplode("words").alias("i", "t"))
+    rest = F.xxhash64(F.array_sort(F.filter("words", lambda w, j: j != F.col("i"))))
+    rows = materialize(at.select("t", rest.alias("rest")).distinct())
+    general = rows.groupBy("t").agg(F.count("*").alias("n_rests")).where(F.col("n_rests") >= support)
+    beside = rows.groupBy("rest").agg(F.count("*").alias("n_words"))
+    longs = rows.where(F.length("t").between(*LONG)).join(general, "t").join(beside, "rest").where("n_rests >= n_words")
+    forms = longs.select("rest", F.col("t").alias("long"), F.explode(_short_forms(F.col("t"))).alias("t"))
+    pairs = forms.join(rows, ["rest", "t"]).groupBy(F.col("t").alias("short"), "long").agg(F.count("*").alias("n")).where(F.col("n") >= support)
+    order = Window.partitionBy("short").orderBy(F.desc("n"), "long")
+    ranked = pairs.withColumn("r", F.row_number().over(order)).withColumn("next", F.lead("n", 1, 0).over(order))
+    return materialize(ranked.where("r = 1 and n >= 2 * next").select("short", "long"))
+
+
+def _spelled_out(read: DataFrame) -> DataFrame:
+    """The names with learnt short forms in their cores written in full; a short form of a short form is followed once."""
+    learnt = learn_abbreviations(read)
+    further = learnt.select(F.col("short").alias("long"), F.col("long").alias("longer"))
+    full = learnt.join(further, "long", "left").select(F.col("short").alias("t"), F.coalesce("longer", "long").alias("full"))
+    words = read.where("size(words) > 1").select("name", F.posexplode("words").alias("i", "t"))
+    concerned = words.join(full, "t", "left_semi").select("name").distinct()
+    whole = words.join(concerned, "name", "left_semi").join(full, "t", "left")
+    written = whole.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("i", F.coalesce("full", "t").alias("w"))))["w"].alias("w"))
+    written = written.select("name", F.array_join(F.array_sort("w"), "").alias("_core"), F.array_join("w", "").alias("_alias"))
+    out = read.join(written, "name", "left").withColumn("core", F.coalesce("_core", "core")).withColumn("alias", F.coalesce("_alias", "alias"))
+    return materialize(out.drop("_core", "_alias", "words"))
+
+
 def _pivots(cores: DataFrame, n: int) -> list[str]:
     """``n`` cores by hash, a bounded sample: any pivots give the same result, good ones give small cells."""
     return [r.core for r in cores.orderBy(F.xxhash64("core"), "core").limit(n).collect()]
@@ -200,7 +252,8 @@ def link_names(names: DataFrame, name: str = "name") -> DataFrame:
     distinct = names.select(F.col(name).alias("name")).where("name is not null").distinct()
     parts = ["kind", "core", "alias", "business", "direction", "first", "middle", "initials"]
     tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    read = materialize(distinct.repartition(tasks, "name").withColumn("p", _read("name")).select("name", *[F.col(f"p.{c}").alias(c) for c in parts]))
+    read = materialize(distinct.repartition(tasks, "name").withColumn("p", _read("name")).select("name", *[F.col(f"p.{c}").alias(c) for c in [*parts, "words"]]))
+    read = _spelled_out(read)
     read = read.withColumn("pid", F.when(F.coalesce("core", F.lit("")) == "", F.xxhash64("name")).otherwise(F.xxhash64(*[F.coalesce(c, F.lit("\0")) for c in parts if c not in ("alias", "initials")])))
     usable = read.where("coalesce(core, '') != ''")
     profiles = materialize(usable.groupBy("pid", *[c for c in parts if c not in ("alias", "initials")]).agg(F.max("initials").alias("initials"), F.collect_set("alias").alias("aliases")))

@@ -405,3 +405,20 @@ def test_hot_variant_is_split_without_loss(spark, block):
     df = spark.createDataFrame(rows, "cls long, s0 long, s1 long, v long, k long")
     got = sorted((r.x, r.y) for r in neardup._meet(df, 0.8, block).collect())
     assert got == list(itertools.combinations(range(20), 2))
+
+
+def test_short_forms_are_learnt(spark):
+    """Words outside the fixed lists: short forms beside the same companies are learnt and hold for others too."""
+    heads = ["Agelven", "Bupenleeth", "Kellertoand", "Neltenron", "Wexcombe"]
+    rows = [f"{h} {k}" for h in heads for k in ("Nutritionals", "Nutr.", "Packaging Inc", "Pkg", "Marketing")] + ["Vurkartonum Nutritionals", "Vurkartonum Nutr", "Vurkartonum Mktg"]
+    # Names of few companies beside words of many teach nothing, whatever they look like.
+    rows += [f"{h} {k}" for h in ("Sunlight", "Sun") for k in ("Nutritionals", "Packaging", "Marketing", "Foods")] + [f"{h} Mktg" for h in heads[:3]] + ["!!", "x " * 5000]
+    got = {r.name: r.entity for r in names.link_names(spark.createDataFrame([(r,) for r in rows], "name string")).collect()}
+    assert len(got) == len(set(rows))
+    for h in [*heads, "Vurkartonum"]:
+        assert got[f"{h} Nutritionals"] == got.get(f"{h} Nutr.", got.get(f"{h} Nutr"))
+    assert got["Wexcombe Packaging Inc"] == got["Wexcombe Pkg"] and got["Agelven Marketing"] == got["Agelven Mktg"]
+    assert got["Agelven Nutr."] != got["Bupenleeth Nutr."] and got["Agelven Nutr."] != got["Agelven Pkg"]
+    assert got["Sun Nutritionals"] != got["Sunlight Nutritionals"]
+    empty = names.learn_abbreviations(spark.createDataFrame([], "words array<string>"))
+    assert empty.count() == 0
