@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +29,8 @@ PIVOTS, RINGS = 24, 4
 SUPPORT = 3
 #: Short forms are learnt of words of ``LONG`` letters, from names of at most ``NAME_WORDS`` words; all names are then read with them.
 LONG, NAME_WORDS = (5, 30), 8
+#: Words of at most ``LETTERS`` letters are compared ``CHUNK`` at a time, longer ones one by one.
+LETTERS, CHUNK = 48, 256
 
 # Legal forms, left out.
 LEGAL = "inc incorporated llc ltd limited co company corp corporation plc gmbh sa ag lp llp mfr the of".split()
@@ -85,6 +88,52 @@ def distance(a: str, b: str) -> int:
     return d[len(a) + 1][len(b) + 1]
 
 
+def _letters(words: list[str], pad: int) -> np.ndarray:
+    """Code points of the words, one row each, padded to the longest."""
+    out = np.full((len(words), max(map(len, words))), pad, np.int32)
+    for row, word in zip(out, words, strict=True):
+        row[: len(word)] = [ord(c) for c in word]
+    return out
+
+
+def distances(words: list[str], points: list[str]) -> np.ndarray:
+    """``distance`` of every word to every point, one row a word: one step of the table is taken for all of them at once."""
+    out = np.empty((len(words), len(points)), np.int32)
+    short = [k for k, w in enumerate(words) if 0 < len(w) <= LETTERS]
+    near = [k for k, p in enumerate(points) if 0 < len(p) <= LETTERS]
+    rest = set(range(len(words))) - set(short), set(range(len(points))) - set(near)
+    for i in range(len(words)):
+        for j in range(len(points)) if i in rest[0] else rest[1]:
+            out[i, j] = distance(words[i], points[j])
+    if not near:
+        return out
+    b = _letters([points[k] for k in near], -1)
+    for at in range(0, len(short), CHUNK):
+        rows = short[at : at + CHUNK]
+        a = _letters([words[k] for k in rows], -2)
+        n, m, shape = a.shape[1], b.shape[1], (len(rows), len(near))
+        d = np.full((n + 2, m + 2, *shape), n + m, np.int32)
+        d[1:, 1] = np.arange(n + 1)[:, None, None]
+        d[1, 1:] = np.arange(m + 1)[:, None, None]
+        last = np.zeros((m, *shape), np.int32)
+        for i in range(1, n + 1):
+            match = np.zeros(shape, np.int32)
+            for j in range(1, m + 1):
+                equal = a[:, i - 1, None] == b[None, :, j - 1]
+                step = np.minimum(np.minimum(d[i, j + 1], d[i + 1, j]) + 1, d[i, j] + (1 - equal))
+                k = last[j - 1]
+                x, y = np.nonzero((k > 0) & (match > 0))
+                if len(x):
+                    k, l = k[x, y], match[x, y]
+                    step[x, y] = np.minimum(step[x, y], d[k, l, x, y] + (i - k - 1) + 1 + (j - l - 1))
+                d[i + 1, j + 1] = step
+                match[equal] = j
+                last[j - 1][equal] = i
+        ends = d[[[len(words[k]) + 1] for k in rows], [[len(points[k]) + 1 for k in near]], np.arange(len(rows))[:, None], np.arange(len(near))]
+        out[np.ix_(rows, near)] = ends
+    return out
+
+
 def _near(word: str, known: str, least: int = 7) -> bool:
     """Equal, or one step apart where the known word is long enough to be told from others."""
     if word == known:
@@ -209,7 +258,7 @@ def near_cores(cores: DataFrame, radius: int = RADIUS, pivots: int = PIVOTS) ->
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def to_pivots(col: pd.Series) -> pd.Series:
-        return pd.Series([[distance(c, p) for p in points] for c in col])
+        return pd.Series(list(distances(col.tolist(), points)), dtype=object)
 
     # A fixed number of tasks: distances are costly for their rows' size, so small partitions aren't merged.
     tasks = int(cores.sparkSession.conf.get("spark.sql.shuffle.partitions"))

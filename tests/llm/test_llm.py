@@ -422,3 +422,13 @@ def test_short_forms_are_learnt(spark):
     assert got["Sun Nutritionals"] != got["Sunlight Nutritionals"]
     empty = names.learn_abbreviations(spark.createDataFrame([], "words array<string>"))
     assert empty.count() == 0
+
+
+def test_distances_of_many_words(monkeypatch):
+    """The batched distances are those taken one by one, for empty and long words too."""
+    rnd = random.Random(4)
+    draw = lambda n: ["".join(rnd.choice("abc") for _ in range(rnd.randrange(0, 9))) for _ in range(n)]
+    monkeypatch.setattr(names, "LETTERS", 7)
+    monkeypatch.setattr(names, "CHUNK", 50)
+    words, points = [*draw(400), "", "ca", "abc" * 9], [*draw(12), "", "abc", "bca" * 9]
+    assert names.distances(words, points).tolist() == [[names.distance(w, p) for p in points] for w in words]
