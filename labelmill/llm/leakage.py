@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 from hashlib import blake2b
-from itertools import islice
+from itertools import islice, zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -60,15 +60,51 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def _plus(a: list[np.ndarray], b: list[np.ndarray]) -> list[np.ndarray]:
+    """Sums of counts of 64 bits each, as planes: plane k holds the counts' binary digits k."""
+    out, carry = [], None
+    for x, y in zip_longest(a, b):
+        digits = [v for v in (x, y, carry) if v is not None]
+        if len(digits) == 1:
+            out.append(digits[0])
+            carry = None
+            continue
+        both, one = digits[0] & digits[1], digits[0] ^ digits[1]
+        if len(digits) == 3:
+            both |= one & digits[2]
+            one ^= digits[2]
+        out.append(one)
+        carry = both
+    return out if carry is None else [*out, carry]
+
+
 def simhashes(words: np.ndarray, width: int, stride: int = 1) -> np.ndarray:
-    """SimHash of the runs of ``width`` words at every ``stride``-th place: the majority of each bit over the words' hashes."""
+    """SimHash of the runs of ``width`` words at every ``stride``-th place: the majority of each bit over the words' hashes.
+
+    The 64 counts of a run are added at once, by planes: those of a run from those of its halves.
+    """
     if len(words) < width:
         return np.empty(0, np.uint64)
-    bits = np.unpackbits(words.view(np.uint8).reshape(-1, 8), axis=1)
-    total = np.zeros((len(words) + 1, 64), np.uint16)  # sums wrap, their differences don't
-    np.cumsum(bits, axis=0, out=total[1:])
-    ones = (total[width::stride] - total[:-width:stride]) * 2 > width
-    return np.packbits(ones, axis=1).view(np.uint64).reshape(-1)
+    n = len(words) - width + 1
+    counts: list[np.ndarray] = []
+    power, size, begin = [words], 1, 0  # counts of the runs of ``size`` words, words of the run counted so far
+    while True:
+        if width & size:
+            counts = _plus(counts, [p[begin : begin + n] for p in power])
+            begin += size
+        if begin == width:
+            break
+        power = _plus([p[:-size] for p in power], [p[size:] for p in power])
+        size *= 2
+    above, equal = np.zeros(n, np.uint64), np.full(n, ~np.uint64(0))
+    for k in reversed(range(max(len(counts), (width // 2).bit_length()))):
+        digit = counts[k] if k < len(counts) else np.zeros(n, np.uint64)
+        if width // 2 >> k & 1:
+            equal &= digit
+        else:
+            above |= equal & digit
+            equal &= ~digit
+    return above[::stride]
 
 
 def shingles(words: np.ndarray, width: int) -> np.ndarray:

@@ -4,6 +4,7 @@ import itertools
 import collections
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -187,6 +188,23 @@ def test_more_items_than_a_pass(spark, monkeypatch):
     assert {(r.item_id, r.doc_id) for r in leakage.leaks(docs, items).collect()} == {(i, 100 + i) for i in range(10)}
 
 
+@pytest.mark.parametrize(("width", "stride"), [(1, 1), (2, 1), (7, 2), (8, 1), (32, 8), (41, 3)])
+def test_simhashes_are_the_majority_of_each_bit(width, stride):
+    """Against counting; the work space is a few words a word, not the 64 counts of each word."""
+    words = np.random.default_rng(5).integers(0, 2**63, 20_000).astype(np.uint64)
+    words[5000:5100] = words[5000]
+    tracemalloc.start()
+    found = leakage.simhashes(words, width, stride)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    bits = np.unpackbits(words.view(np.uint8).reshape(-1, 8), axis=1)
+    for k, at in enumerate(range(0, len(words) - width + 1, stride)):
+        if k % 97 == 0 or 4900 < at < 5200:
+            assert found[k] == np.packbits(2 * bits[at : at + width].sum(0, dtype=int) > width).view(np.uint64)[0]
+    assert len(found) == len(range(0, len(words) - width + 1, stride)) and not len(leakage.simhashes(words[: width - 1], width, stride))
+    assert peak < 160 * len(words)
+
+
 @pytest.mark.parametrize("width", leakage.WINDOWS)
 def test_block_tables_find_all_within_radius(width):
     rnd = np.random.default_rng(2)
