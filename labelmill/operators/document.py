@@ -12,11 +12,14 @@ from labelmill.functions import clinical, indication, text
 from labelmill.functions.ingredient import ingredient_type, normalize_substance
 from labelmill.functions.units import simple_unit
 from labelmill.session import materialize
-from labelmill.sources.label_xml import DEPTH, NAMESPACE, SYSTEMS, deep_fragments
+from labelmill.sources.label_xml import DEPTH, NAMESPACE, SYSTEMS, deep_fragments, large_fragments
 
 _BODY = "doc.component.structuredBody.component"
 _INNER = "p.manufacturedProduct.manufacturedProduct"
 
+#: Signs of a document in which its root is looked for first.
+BEGINNING = 10_000
+
 
 def coded(c: Column) -> Column:
     """struct(code, code_system, display_name), null unless code and system are there."""
@@ -26,7 +29,9 @@ def coded(c: Column) -> Column:
 
 def is_label(xml: Column, doc: Column) -> Column:
     """Well-formed, root ``document`` of the label namespace, with id, code, set and version."""
-    root = xml.rlike(rf'(?s)^\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*)*<(?:\w+:)?document\b[^>]*"{NAMESPACE}"')
+    pattern = rf'(?s)^\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*)*<(?:\w+:)?document\b[^>]*"{NAMESPACE}"'
+    # Nearly always the beginning tells; a pattern makes a copy of the text it is tried on.
+    root = F.substring(xml, 1, BEGINNING).rlike(pattern) | ((F.octet_length(xml) > BEGINNING) & xml.rlike(pattern))
     parts = [doc[c].isNotNull() for c in ("id", "code", "setId", "versionNumber")]
     return F.coalesce(reduce(lambda a, b: a & b, [doc["_corrupt_record"].isNull(), root, *parts]), F.lit(False))
 
@@ -91,32 +96,41 @@ def sections(parsed: DataFrame) -> DataFrame:
     What is below the last of these levels only sets ``depth_overflow``, see :func:`all_sections`.
     Sections without id are dropped with what is below them. The order of paths is the document's order.
     """
-    tops = F.transform(F.col(_BODY), lambda c, i: F.struct(F.array(i).alias("path"), F.lit(None).cast("string").alias("parent"), c["section"].alias("s")))
-    return _levels(_labels(parsed).select("document_id", tops.alias("tops")))
+    return _whole_sections(parsed).unionByName(_piece_sections(materialize(large_fragments(_labels(parsed), DEPTH - 1))))
 
 
 def all_sections(parsed: DataFrame) -> DataFrame:
     """Sections of all levels, with the columns of :func:`sections`; ``depth_overflow`` is false.
 
-    What lies deeper than the schema is cut out of the text in pieces of ``DEPTH`` levels.
+    What lies deeper than the schema is cut out of the text in pieces of ``DEPTH`` levels, a large
+    label's sections one by one.
     """
-    pieces = materialize(deep_fragments(_labels(parsed)))
+    deep = _piece_sections(materialize(deep_fragments(_labels(parsed))))
+    return _whole_sections(parsed).unionByName(deep).withColumn("depth_overflow", F.lit(False))
+
+
+def _whole_sections(parsed: DataFrame) -> DataFrame:
+    """The first ``DEPTH`` levels of the labels that are parsed as one."""
+    tops = F.transform(F.col(_BODY), lambda c, i: F.struct(F.array(i).alias("path"), F.lit(None).cast("string").alias("parent"), c["section"].alias("s")))
+    return _levels(_labels(parsed).select("document_id", tops.alias("tops")))
+
+
+def _piece_sections(pieces: DataFrame) -> DataFrame:
     top = F.array(F.struct("path", F.col("parent_section_id").alias("parent"), "s"))
-    deep = _levels(pieces.select("document_id", top.alias("tops")))
-    return sections(parsed).unionByName(deep).withColumn("depth_overflow", F.lit(False))
+    return _levels(pieces.select("document_id", top.alias("tops")))
 
 
 def _named(nodes: Column) -> Column:
     return F.filter(nodes, lambda n: F.coalesce(n["s"]["id"]["_root"], F.lit("")) != "")
 
 
-def _row(n: Column, last: bool) -> Column:
+def _row(n: Column) -> Column:
     """What a section's row is made of, as it stands in the document."""
     below = n["s"]["component"]
     return F.struct(
         n["s"]["id"]["_root"].alias("section_id"), n["path"].alias("path"), n["parent"].alias("parent_section_id"), n["s"]["code"].alias("code"), n["s"]["title"].alias("title"),
         n["s"]["text"].alias("text"), n["s"]["effectiveTime"]["_value"].alias("effective_time"), F.transform(below, lambda c: c["observationMedia"]).alias("observed"),
-        (F.exists(below, lambda c: c["section"].isNotNull()) if last else F.lit(False)).alias("deeper"),
+        ((F.size(n["path"]) == DEPTH) & F.exists(below, lambda c: c["section"].isNotNull())).alias("deeper"),
     )
 
 
@@ -126,9 +140,8 @@ def _levels(df: DataFrame) -> DataFrame:
     level, rows = "tops", []
     df = df.withColumn(level, _named(F.col(level)))
     for k in range(DEPTH):
-        last = k == DEPTH - 1
-        rows.append(F.coalesce(F.transform(level, lambda n: _row(n, last)), F.array()))
-        if not last:
+        rows.append(F.coalesce(F.transform(level, _row), F.array()))
+        if k < DEPTH - 1:
             df = df.withColumn(f"_l{k}", _named(F.flatten(F.filter(F.transform(level, step), lambda x: x.isNotNull()))))
             level = f"_l{k}"
     flat = df.select("document_id", F.inline(F.flatten(F.array(*rows))))
@@ -173,6 +186,8 @@ def products(parsed: DataFrame) -> DataFrame:
     """Every product of the top-level sections: document_id, path, the section's code, the product's fields, its ingredients and packages."""
     rows = _labels(parsed).select("document_id", F.posexplode(F.col(_BODY)).alias("i", "c"))
     rows = rows.select("document_id", "i", F.col("c.section.code._code").alias("listed_in"), F.posexplode(F.col("c.section.subject")).alias("k", "s"))
+    large = large_fragments(_labels(parsed), 0, "subject").select("document_id", F.col("path")[0].alias("i"), F.col("s.code._code").alias("listed_in"), F.posexplode(F.col("s.subject")).alias("k", "s"))
+    rows = rows.unionByName(materialize(large))  # written, so that the large labels are cut once
     rows = rows.select("document_id", F.array("i", "k").alias("path"), "listed_in", F.col("s.manufacturedProduct").alias("p")).where(F.col("p.manufacturedProduct").isNotNull())
     n = F.col("p.manufacturedProduct")
     act = F.get(F.filter(F.col("p.subjectOf"), lambda s: s["marketingAct"].isNotNull()), F.lit(0))["marketingAct"]
@@ -240,23 +255,43 @@ def numbered(sections: DataFrame) -> DataFrame:
     return sections.withColumn("section_order", F.row_number().over(Window.partitionBy("document_id").orderBy("path")))
 
 
-def load_tables(parsed: DataFrame, loaded_at: Column | None = None) -> dict[str, DataFrame]:
+def load_tables(parsed: DataFrame, loaded_at: Column | None = None, products_only: bool = False) -> dict[str, DataFrame]:
     """The relational tables of parsed labels: medications, ingredients, spl_sections, indications, additional_ndc_codes.
 
+    ``products_only``: only those that are made of the products (ingredients, additional_ndc_codes); no section is read for them.
+
     They have all columns that the search views read. Codes count only in their own code system;
     keys are hashes of what identifies a row. A label's product is the first one of its first
     listing section that has one; section_order runs through a label from the top down; a section's
     text is rewritten by its type. ``loaded_at`` (now, unless given) is the time of processing.
     """
     now = F.current_timestamp() if loaded_at is None else loaded_at
-    docs = documents(parsed).where("success and document_id != 'unknown'")
     found = products(parsed)
-    # Written twice, so that the levels are walked once and each text is rewritten once.
-    secs = materialize(numbered(section_table(materialize(all_sections(parsed)))))
-    first = found.where(F.col("listed_in") == LISTING).groupBy("document_id").agg(F.min(F.struct("path", "product_code", "name", "suffix", "generic_name", "form", "marketing_status", "marketing_low", "approval_type", "approval_id", "routes")).alias("p"))
     day = load_date
     system = lambda c, s: F.when(c["code_system"] == SYSTEMS[s], c["code"])
     shown = lambda c: F.coalesce(c["display_name"], c["code"])
+    key = lambda *c: F.sha2(F.concat_ws("|", *c), 256)
+    drugs = product_ingredients(found)
+    ingredients = drugs.select(
+        key("document_id", F.array_join("path", "."), "pos").alias("id"), F.col("document_id").alias("spl_id"), "ingredient_type", "substance_name",
+        system(F.col("substance_code"), "unii").alias("unii_code"), F.col("quantity.numerator_value").try_cast("decimal(15,6)").alias("strength_numerator"),
+        F.col("quantity.numerator_unit").alias("strength_numerator_unit"), F.col("quantity.denominator_value").try_cast("decimal(15,6)").alias("strength_denominator"),
+        F.col("quantity.denominator_unit").alias("strength_denominator_unit"), F.col("moiety_name").alias("active_moiety_name"), F.col("moiety_code").alias("active_moiety_unii"),
+        now.alias("created_at"),
+    )
+    boxes = packages(found)
+    codes = boxes.select(
+        key("document_id", F.array_join("path", "."), "pos").alias("id"), F.col("document_id").alias("spl_id"), system(F.col("package_code"), "ndc").alias("ndc_code"),
+        F.concat_ws(" ", F.col("package_quantity").cast("string"), shown(F.col("package_form"))).alias("package_description"), F.col("package_quantity").cast("string").alias("package_size"),
+        "package_quantity", "package_unit", now.alias("created_at"),
+    )
+    codes = codes.where("ndc_code is not null")
+    if products_only:
+        return {"ingredients": ingredients, "additional_ndc_codes": codes}
+    docs = documents(parsed).where("success and document_id != 'unknown'")
+    # Written twice, so that the levels are walked once and each text is rewritten once.
+    secs = materialize(numbered(section_table(materialize(all_sections(parsed)))))
+    first = found.where(F.col("listed_in") == LISTING).groupBy("document_id").agg(F.min(F.struct("path", "product_code", "name", "suffix", "generic_name", "form", "marketing_status", "marketing_low", "approval_type", "approval_id", "routes")).alias("p"))
     p = F.col("p")
     summary = secs.groupBy("document_id").agg(
         F.count("*").alias("total_sections"), F.count_if(F.length("text_content") > 0).alias("with_text"),
@@ -275,15 +310,6 @@ def load_tables(parsed: DataFrame, loaded_at: Column | None = None) -> dict[str,
         now.alias("processed_at"), F.lit("completed").alias("processing_status"), F.nullif(F.array_join("processing_errors", "; "), F.lit("")).alias("processing_errors"),
         now.alias("created_at"), now.alias("updated_at"),
     )
-    key = lambda *c: F.sha2(F.concat_ws("|", *c), 256)
-    drugs = product_ingredients(found)
-    ingredients = drugs.select(
-        key("document_id", F.array_join("path", "."), "pos").alias("id"), F.col("document_id").alias("spl_id"), "ingredient_type", "substance_name",
-        system(F.col("substance_code"), "unii").alias("unii_code"), F.col("quantity.numerator_value").try_cast("decimal(15,6)").alias("strength_numerator"),
-        F.col("quantity.numerator_unit").alias("strength_numerator_unit"), F.col("quantity.denominator_value").try_cast("decimal(15,6)").alias("strength_denominator"),
-        F.col("quantity.denominator_unit").alias("strength_denominator_unit"), F.col("moiety_name").alias("active_moiety_name"), F.col("moiety_code").alias("active_moiety_unii"),
-        now.alias("created_at"),
-    )
     loinc = system(F.col("section_code"), "loinc")
     parts = secs.select(
         key("document_id", F.array_join("path", ".")).alias("id"), F.col("document_id").alias("spl_id"), "section_id", loinc.alias("loinc_code"), F.col("title").alias("section_title"),
@@ -299,13 +325,7 @@ def load_tables(parsed: DataFrame, loaded_at: Column | None = None) -> dict[str,
         key("spl_id", "section_text").alias("id"), "spl_id", F.col("section_text").alias("indication_text"), "indication_type",
         indication.condition_name(t).alias("condition_name"), indication.population(t).alias("population_restriction"), now.alias("created_at"),
     )
-    boxes = packages(found)
-    codes = boxes.select(
-        key("document_id", F.array_join("path", "."), "pos").alias("id"), F.col("document_id").alias("spl_id"), system(F.col("package_code"), "ndc").alias("ndc_code"),
-        F.concat_ws(" ", F.col("package_quantity").cast("string"), shown(F.col("package_form"))).alias("package_description"), F.col("package_quantity").cast("string").alias("package_size"),
-        "package_quantity", "package_unit", now.alias("created_at"),
-    )
-    return {"medications": meds, "ingredients": ingredients, "spl_sections": parts, "indications": indications, "additional_ndc_codes": codes.where("ndc_code is not null")}
+    return {"medications": meds, "ingredients": ingredients, "spl_sections": parts, "indications": indications, "additional_ndc_codes": codes}
 
 
 def section_table(secs: DataFrame) -> DataFrame:

@@ -7,14 +7,19 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
+from itertools import batched
+from math import inf
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Section levels unrolled in the schema; deeper ones are cut out of the text by ``deep_fragments`` and parsed with the same schema.
 DEPTH = 6
+#: Bytes above which a label's sections aren't parsed with it, but cut out and parsed one by one: parsed as one value a label takes many times its text.
+LARGE = 1_000_000
 NAMESPACE = "urn:hl7-org:v3"
 # Identifiers of code systems.
 SYSTEMS = {"ndc": "2.16.840.1.113883.6.69", "unii": "2.16.840.1.113883.4.9", "loinc": "2.16.840.1.113883.6.1"}
@@ -48,12 +53,15 @@ def _section(level: int) -> str:
 
 
 _ORGANIZATION = "struct<id:struct<_extension:string,_root:string>,name:string>"
-DOCUMENT = (
+_BODY = f"struct<component:array<struct<section:{_section(DEPTH - 1)}>>>"
+_HEADER = (
     f"id struct<_root:string>, code {_CODE}, title string, effectiveTime struct<_value:string>, setId struct<_root:string>, "
     f"versionNumber struct<_value:string>, author struct<time:struct<_value:string>,assignedEntity:struct<representedOrganization:"
-    f"struct<id:struct<_extension:string,_root:string>,name:string,assignedEntity:array<struct<assignedOrganization:array<{_ORGANIZATION}>>>>>>, "
-    f"component struct<structuredBody:struct<component:array<struct<section:{_section(DEPTH - 1)}>>>>, _corrupt_record string"
+    f"struct<id:struct<_extension:string,_root:string>,name:string,assignedEntity:array<struct<assignedOrganization:array<{_ORGANIZATION}>>>>>>"
 )
+DOCUMENT = f"{_HEADER}, component struct<structuredBody:{_BODY}>, _corrupt_record string"
+#: A document of which the parser passes over all that stands in the body.
+_HEAD = f"{_HEADER}, component struct<structuredBody:struct<_ID:string>>, _corrupt_record string"
 
 
 def read_xml_dir(spark: SparkSession, path: str, recursive: bool = False, first: int | None = None) -> DataFrame:
@@ -99,82 +107,119 @@ def read_xml_zip(spark: SparkSession, path: str, glob: str = "*spl_release*.zip"
     return found.join(kept, ["inner", "archive", "category"], "left_semi").select(*names)
 
 
+def is_large(xml: Column) -> Column:
+    return F.coalesce(F.octet_length(xml) > F.lit(LARGE), F.lit(False))
+
+
 def parse(df: DataFrame, xml: str = "xml") -> DataFrame:
-    """Adds doc, the parsed label. Malformed or empty XML keeps its text in doc._corrupt_record."""
-    return df.withColumn("doc", F.from_xml(F.col(xml), DOCUMENT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
+    """Adds doc, the parsed label. Malformed or empty XML keeps its text in doc._corrupt_record.
+
+    The body of a label above ``LARGE`` is left empty here; its sections come from :func:`deep_fragments`.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    whole = F.from_xml(F.when(~is_large(F.col(xml)), F.col(xml)), DOCUMENT, options)
+    head = F.from_xml(F.when(is_large(F.col(xml)), F.col(xml)), _HEAD, options)
+    rows = df.withColumn("doc", whole).withColumn("_head", head)
+    h = F.col("_head")
+    body = F.when(h["component"]["structuredBody"].isNotNull(), F.struct(F.struct(F.array().cast(f"array<struct<section:{_section(DEPTH - 1)}>>").alias("component")).alias("structuredBody")))
+    fields = [c.split(" ", 1)[0] for c in _HEADER.split(", ")]
+    large = F.struct(*[h[c].alias(c) for c in fields], body.alias("component"), h["_corrupt_record"].alias("_corrupt_record"))
+    return rows.withColumn("doc", F.when(h.isNotNull(), large).otherwise(F.col("doc"))).drop("_head")
 
 
-_TOKEN = re.compile(r"""<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<(/?)([\w:.-]+)((?:[^>"']|"[^"]*"|'[^']*')*?)(/?)>""", re.S)
-_ROOT = re.compile(r"""\sroot\s*=\s*(?:"([^"]*)"|'([^']*)')""")
+#: Pieces that leave the cutting task at once.
+PIECES = 1000
+_TOKEN = re.compile(rb"""<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<(/?)([\w:.\x80-\xff-]+)((?:[^>"']|"[^"]*"|'[^']*')*?)(/?)>""", re.S)
+_ROOT = re.compile(rb"""\sroot\s*=\s*(?:"([^"]*)"|'([^']*)')""")
+_CUT = b'<section ID=""/>'
 
 
-def fragments(xml: str, depth: int = DEPTH) -> list[tuple[list[int], str, str]]:
-    """(path, id of the section above, text) of the sections whose depth is a multiple of ``depth`` above 0, in one scan.
+def fragments(xml: bytes | memoryview, depth: int = DEPTH, least: int = 1, most: float = inf) -> Iterator[tuple[list[int], str | None, str]]:
+    """(path, id of the section above, text) of the sections whose depth is a multiple of ``depth``, from ``least`` to ``most``, in one scan.
 
-    A text ends where the next multiple begins: the texts don't overlap and none has more than
-    ``depth`` levels. Sections below one without an id are left out. ``xml`` must be well-formed.
+    A text has an empty section where the next multiple begins: the texts don't overlap and none has
+    more than ``depth`` levels. Sections below one without an id are left out. ``xml`` (UTF-8, not copied) must be well-formed.
     """
+    # Sections at these depths begin a text.
+    begins = lambda d: d >= least and d % depth == 0
     # An open element: [name, is it on the way body/component/section/..., place in the list of components,
     # components so far, section id, section depth, parts of its fragment].
-    stack: list[list] = [["", False, -1, -1, None, -1, None]]
-    out: list[tuple[list[int], str, str]] = []
-    writing: list[list[str]] = []  # open fragments, the innermost last
+    stack: list[list] = [[b"", False, -1, -1, None, -1, None]]
+    writing: list[list[bytes | memoryview]] = []  # open fragments, the innermost last
     last = 0
     for m in _TOKEN.finditer(xml):
-        name = (m.group(2) or "").lower()
+        name = (m.group(2) or b"").lower()
         if not name:
             continue
         if not m.group(1):
             up = stack[-1]
-            on = name == "structuredbody" or (up[1] and (name == "component" and up[0] != "component" or name == "section" and up[0] == "component"))
+            on = name == b"structuredbody" or (up[1] and (name == b"component" and up[0] != b"component" or name == b"section" and up[0] == b"component"))
             here = [name, on, -1, -1, None, up[5], None]
-            if on and name == "component":
+            if on and name == b"component":
                 up[3] += 1
                 here[2] = up[3]
-            elif on and name == "section":
+            elif on and name == b"section":
                 here[5] += 1
-                if here[5] and here[5] % depth == 0:
+                if begins(here[5]):
                     if writing:
-                        writing[-1].append(xml[last : m.start()])
+                        writing[-1] += [xml[last : m.start()], _CUT]
                     last = m.start()
                     writing.append([])
-                    above = [e for e in stack if e[0] == "section" and e[1]]
-                    if all(e[4] for e in above):
-                        here[6] = ([e[2] for e in stack if e[0] == "component" and e[1]], above[-1][4])
-            elif name == "id" and up[0] == "section" and up[1]:
+                    above = [e for e in stack if e[0] == b"section" and e[1]]
+                    if here[5] <= most and all(e[4] for e in above):
+                        here[6] = ([e[2] for e in stack if e[0] == b"component" and e[1]], above[-1][4] if above else None)
+            elif name == b"id" and up[0] == b"section" and up[1]:
                 found = _ROOT.search(m.group(3))
-                up[4] = html.unescape(found.group(1) or found.group(2) or "") if found else None
+                up[4] = html.unescape((found.group(1) or found.group(2) or b"").decode()) if found else None
             if not m.group(4):
                 stack.append(here)
                 continue
         else:
             here = stack.pop()
-        if here[1] and here[0] == "section" and here[5] and here[5] % depth == 0:
-            text = "".join([*writing.pop(), xml[last : m.end()]])
+        if here[1] and here[0] == b"section" and begins(here[5]):
+            text = b"".join([*writing.pop(), xml[last : m.end()]]).decode()
             last = m.end()
             if here[6]:
-                out.append((*here[6], text))
-    return out
+                yield *here[6], text
 
 
 def deep_fragments(labels: DataFrame) -> DataFrame:
-    """document_id, path, parent_section_id, s: the sections at every ``DEPTH``-th level of (document_id, xml), parsed.
+    """document_id, path, parent_section_id, s: the sections at every ``DEPTH``-th level of (document_id, xml), parsed, and all of labels above ``LARGE``.
 
     Spark gives what lies below its schema as text without entities, which can't be parsed again;
     so the sections are cut out of the document's own text.
     """
-    schema = "document_id string, path array<int>, parent_section_id string, x string"
+    return parse_pieces(cut_sections(labels))
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = [(i, *f) for i, xml in zip(pdf["document_id"], pdf["xml"], strict=True) for f in fragments(xml)]
-            yield pd.DataFrame(rows, columns=["document_id", "path", "parent_section_id", "x"])
+
+def large_fragments(labels: DataFrame, most: float = inf, having: str = "") -> DataFrame:
+    """As :func:`deep_fragments`, of labels above ``LARGE`` only: the sections down to depth ``most`` whose text contains ``having``."""
+    cut = cut_sections(labels.where(is_large(F.col("xml"))), most)
+    return parse_pieces(cut.where(F.lower("x").contains(having)) if having else cut)
+
+
+def cut_sections(labels: DataFrame, most: float = inf) -> DataFrame:
+    """document_id, path, parent_section_id, x: see :func:`fragments`; of labels above ``LARGE`` every section down to depth ``most`` is cut out alone."""
+    kinds = {"document_id": pa.string(), "path": pa.list_(pa.int32()), "parent_section_id": pa.string(), "x": pa.string()}
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*batch.columns, strict=True)
+            pieces = ((i.as_py(), *f) for i, xml, large in rows for f in (fragments(memoryview(xml.as_buffer()), 1, 0, most) if large.as_py() else fragments(memoryview(xml.as_buffer()))))
+            for part in batched(pieces, PIECES):
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part, strict=True), kinds.values(), strict=True)], names=list(kinds))
 
     # A label with fewer sections than levels has none that deep.
     many = F.length("xml") - F.length(F.replace("xml", F.lit("<section"), F.lit(""))) > F.lit(DEPTH * len("<section"))
-    found = labels.where(many).select("document_id", "xml").mapInPandas(cut, schema)
+    large = is_large(F.col("xml"))
+    found = labels.where(F.when(large, F.lit(True)).otherwise(many)).select("document_id", "xml", large.alias("large"))
+    # The pieces of a label are parsed by many tasks.
+    return found.mapInArrow(cut, "document_id string, path array<int>, parent_section_id string, x string").repartition("document_id", "path")
+
+
+def parse_pieces(pieces: DataFrame) -> DataFrame:
     parsed = F.from_xml(F.concat(F.lit("<component>"), F.col("x"), F.lit("</component>")), f"section {_section(DEPTH - 1)}")
-    return found.select("document_id", "path", "parent_section_id", parsed.alias("c")).select("document_id", "path", "parent_section_id", F.col("c.section").alias("s"))
+    return pieces.select("document_id", "path", "parent_section_id", parsed.alias("c")).select("document_id", "path", "parent_section_id", F.col("c.section").alias("s"))
 
 
 def escape(c: Column) -> Column:

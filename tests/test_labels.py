@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from labelmill.operators import document as D
 from labelmill.operators import validation
-from labelmill.sources import discover
+from labelmill.sources import discover, label_xml
 from labelmill.sources.label_xml import NAMESPACE, parse, read_xml_dir, read_xml_zip
 from labelmill.streaming.ingest import current_table, event_windows, upsert_stream
 
@@ -294,6 +294,31 @@ def test_sections_of_all_depths(spark):
     assert sorted(r.section_id for r in got if r.document_id == "b") == ["s0", "s1", "s2"]
 
 
+def test_large_labels_are_cut_into_sections(spark, monkeypatch):
+    """A label that is too large to be parsed as one value gives the same rows; its parsed form doesn't grow with its sections."""
+    deep = ""
+    for k in reversed(range(15)):
+        deep = MEDIA + section(f"d{k}", "42229-5", deep + section(f"e{k}", "34084-4"), text=f"<paragraph>a &lt;{k} &amp;amp;</paragraph><!-- <section> -->", title=f"&quot;{k}&gt;")
+    lost = nest(9).replace('<id root="s3"/>', "")
+    rows = [label("a", BODY), label("b", MEDIA + section("m", "34066-1") + deep + section("z", "48780-1", PRODUCT + PRODUCT)), label("c", lost), label("d", nest(6)), label("e", ""), label("f", BODY)[:-20], label("g", BODY, ""), "<html/>", "", None]
+    rows.append(label("h").replace("<component><structuredBody></structuredBody></component>", ""))
+    given = spark.createDataFrame([(x,) for x in rows], "xml string")
+    columns = {"medications": "processed_at created_at updated_at", "ingredients": "created_at", "spl_sections": "created_at", "indications": "created_at", "additional_ndc_codes": "created_at"}
+
+    def found(large):
+        monkeypatch.setattr(label_xml, "LARGE", large)
+        parsed = parse(given).cache()
+        out = {"bodies": parsed.where("size(doc.component.structuredBody.component) > 0").count(), "quarantine": D.quarantine(parsed), "documents": D.documents(parsed), "sections": D.sections(parsed), "all": D.all_sections(parsed), "products": D.products(parsed)}
+        out |= {k: t.drop(*columns[k].split()) for k, t in D.load_tables(parsed).items()}
+        assert {k: sorted(map(str, t.drop(*columns[k].split()).collect())) for k, t in D.load_tables(parsed, products_only=True).items()} == {k: sorted(map(str, out[k].collect())) for k in ("ingredients", "additional_ndc_codes")}
+        return {k: sorted(map(str, v.collect())) if k != "bodies" else v for k, v in out.items()}
+
+    whole, cut = found(10**9), found(0)
+    assert (whole.pop("bodies"), cut.pop("bodies")) == (5, 0)
+    assert cut == whole
+    assert all(whole.values()) and len(whole["quarantine"]) == 5
+
+
 def test_written_sections_come_back(spark):
     """All depths; parents that are missing or in another label make roots; a circle is cut once and reported."""
     from labelmill.sources.label_xml import section_trees, write_labels
