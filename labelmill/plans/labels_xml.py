@@ -42,7 +42,7 @@ def xml_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def xml_ingredients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = D.load_tables(_parsed(spark, sf_dir))["ingredients"]
+    rows = D.load_tables(_parsed(spark, sf_dir), products_only=True)["ingredients"]
     return rows.select("spl_id", "ingredient_type", "substance_name", "unii_code", "strength_numerator")
 
 
