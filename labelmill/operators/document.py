@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -11,15 +9,12 @@ from pyspark.sql.window import Window
 from labelmill.functions import clinical, indication, text
 from labelmill.functions.ingredient import ingredient_type, normalize_substance
 from labelmill.functions.units import simple_unit
-from labelmill.session import materialize
-from labelmill.sources.label_xml import DEPTH, NAMESPACE, SYSTEMS, deep_fragments, large_fragments
+from labelmill.session import free, materialize
+from labelmill.sources.label_xml import DEPTH, SYSTEMS, cut_sections, large_fragments, parse_pieces, subjects
 
 _BODY = "doc.component.structuredBody.component"
 _INNER = "p.manufacturedProduct.manufacturedProduct"
 
-#: Signs of a document in which its root is looked for first.
-BEGINNING = 10_000
-
 
 def coded(c: Column) -> Column:
     """struct(code, code_system, display_name), null unless code and system are there."""
@@ -27,15 +22,6 @@ def coded(c: Column) -> Column:
     return F.when(there, F.struct(c["_code"].alias("code"), c["_codeSystem"].alias("code_system"), c["_displayName"].alias("display_name")))
 
 
-def is_label(xml: Column, doc: Column) -> Column:
-    """Well-formed, root ``document`` of the label namespace, with id, code, set and version."""
-    pattern = rf'(?s)^\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*)*<(?:\w+:)?document\b[^>]*"{NAMESPACE}"'
-    # Nearly always the beginning tells; a pattern makes a copy of the text it is tried on.
-    root = F.substring(xml, 1, BEGINNING).rlike(pattern) | ((F.octet_length(xml) > BEGINNING) & xml.rlike(pattern))
-    parts = [doc[c].isNotNull() for c in ("id", "code", "setId", "versionNumber")]
-    return F.coalesce(reduce(lambda a, b: a & b, [doc["_corrupt_record"].isNull(), root, *parts]), F.lit(False))
-
-
 def organizations(doc: Column) -> Column:
     """The represented organisation and those assigned to it, empty ones kept."""
     r = doc["author"]["assignedEntity"]["representedOrganization"]
@@ -52,13 +38,13 @@ def documents(parsed: DataFrame) -> DataFrame:
     an error. What isn't a label has success false and only errors.
     """
     d = F.col("doc")
-    ok = is_label(F.col("xml"), d)
+    ok = d["_label"]
     id_, set_ = F.nullif(d["id"]["_root"], F.lit("")), F.nullif(d["setId"]["_root"], F.lit(""))
     version = F.nullif(d["versionNumber"]["_value"], F.lit(""))
     body = d["component"]["structuredBody"]
     errors = F.array_compact(
         F.array(
-            F.when(F.col("xml").isNull(), F.lit("no readable text")),
+            F.when(~d["_there"], F.lit("no readable text")),
             F.when(~ok, F.lit("not a label document")),
             F.when(ok & id_.isNull(), F.lit("missing document id")),
             F.when(ok & set_.isNull(), F.lit("missing set id")),
@@ -82,12 +68,12 @@ def documents(parsed: DataFrame) -> DataFrame:
 
 
 def _labels(parsed: DataFrame) -> DataFrame:
-    return parsed.where(is_label(F.col("xml"), F.col("doc"))).withColumn("document_id", F.coalesce(F.nullif(F.col("doc.id._root"), F.lit("")), F.lit("unknown")))
+    return parsed.where("doc._label").withColumn("document_id", F.coalesce(F.nullif(F.col("doc.id._root"), F.lit("")), F.lit("unknown")))
 
 
 def quarantine(parsed: DataFrame) -> DataFrame:
     """Rows that aren't label documents, with their text."""
-    return parsed.where(~is_label(F.col("xml"), F.col("doc"))).drop("doc")
+    return parsed.where("not doc._label").drop("doc")
 
 
 def sections(parsed: DataFrame) -> DataFrame:
@@ -99,13 +85,18 @@ def sections(parsed: DataFrame) -> DataFrame:
     return _whole_sections(parsed).unionByName(_piece_sections(materialize(large_fragments(_labels(parsed), DEPTH - 1))))
 
 
-def all_sections(parsed: DataFrame) -> DataFrame:
+def pieces(parsed: DataFrame) -> DataFrame:
+    """What is cut out of the texts for :func:`all_sections` and :func:`products`, written, so that it is cut once for both."""
+    return materialize(cut_sections(_labels(parsed)), "zstd")
+
+
+def all_sections(parsed: DataFrame, cut: DataFrame | None = None) -> DataFrame:
     """Sections of all levels, with the columns of :func:`sections`; ``depth_overflow`` is false.
 
     What lies deeper than the schema is cut out of the text in pieces of ``DEPTH`` levels, a large
-    label's sections one by one.
+    label's sections one by one. ``cut``: the :func:`pieces`, where they are there.
     """
-    deep = _piece_sections(materialize(deep_fragments(_labels(parsed))))
+    deep = _piece_sections(parse_pieces(pieces(parsed) if cut is None else cut))
     return _whole_sections(parsed).unionByName(deep).withColumn("depth_overflow", F.lit(False))
 
 
@@ -182,11 +173,14 @@ def inline_media(c: Column) -> Column:
     )
 
 
-def products(parsed: DataFrame) -> DataFrame:
-    """Every product of the top-level sections: document_id, path, the section's code, the product's fields, its ingredients and packages."""
+def products(parsed: DataFrame, cut: DataFrame | None = None) -> DataFrame:
+    """Every product of the top-level sections: document_id, path, the section's code, the product's fields, its ingredients and packages.
+
+    ``cut``: the :func:`pieces`, where they are there.
+    """
     rows = _labels(parsed).select("document_id", F.posexplode(F.col(_BODY)).alias("i", "c"))
     rows = rows.select("document_id", "i", F.col("c.section.code._code").alias("listed_in"), F.posexplode(F.col("c.section.subject")).alias("k", "s"))
-    large = large_fragments(_labels(parsed), 0, "subject").select("document_id", F.col("path")[0].alias("i"), F.col("s.code._code").alias("listed_in"), F.posexplode(F.col("s.subject")).alias("k", "s"))
+    large = subjects(cut_sections(_labels(parsed).where("doc._large"), 0) if cut is None else cut).select("document_id", F.col("path")[0].alias("i"), F.col("s.code._code").alias("listed_in"), F.posexplode(F.col("s.subject")).alias("k", "s"))
     rows = rows.unionByName(materialize(large))  # written, so that the large labels are cut once
     rows = rows.select("document_id", F.array("i", "k").alias("path"), "listed_in", F.col("s.manufacturedProduct").alias("p")).where(F.col("p.manufacturedProduct").isNotNull())
     n = F.col("p.manufacturedProduct")
@@ -266,7 +260,8 @@ def load_tables(parsed: DataFrame, loaded_at: Column | None = None, products_onl
     text is rewritten by its type. ``loaded_at`` (now, unless given) is the time of processing.
     """
     now = F.current_timestamp() if loaded_at is None else loaded_at
-    found = products(parsed)
+    cut = None if products_only else pieces(parsed)
+    found = products(parsed, cut)
     day = load_date
     system = lambda c, s: F.when(c["code_system"] == SYSTEMS[s], c["code"])
     shown = lambda c: F.coalesce(c["display_name"], c["code"])
@@ -290,7 +285,9 @@ def load_tables(parsed: DataFrame, loaded_at: Column | None = None, products_onl
         return {"ingredients": ingredients, "additional_ndc_codes": codes}
     docs = documents(parsed).where("success and document_id != 'unknown'")
     # Written twice, so that the levels are walked once and each text is rewritten once.
-    secs = materialize(numbered(section_table(materialize(all_sections(parsed)))))
+    read = materialize(all_sections(parsed, cut), "zstd")
+    secs = materialize(numbered(section_table(read)), "zstd")
+    free(read, cut)
     first = found.where(F.col("listed_in") == LISTING).groupBy("document_id").agg(F.min(F.struct("path", "product_code", "name", "suffix", "generic_name", "form", "marketing_status", "marketing_low", "approval_type", "approval_id", "routes")).alias("p"))
     p = F.col("p")
     summary = secs.groupBy("document_id").agg(

@@ -28,7 +28,7 @@ def label_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed once and written, so that each table reads only the parts of the documents it needs."""
-    return materialize(parse(label_xml(spark, sf_dir).select("xml")))
+    return materialize(parse(label_xml(spark, sf_dir).select("xml")), "zstd")
 
 
 def xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

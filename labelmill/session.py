@@ -41,15 +41,16 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{made}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     Cuts the lineage, survives the loss of executors and keeps the files compact. The files go
-    when the driver's JVM ends, or by :func:`free`.
+    when the driver's JVM ends, or by :func:`free`. ``compression``: the session's codec, unless given;
+    for very long values ``zstd``, as snappy holds a value whole outside of the heap.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/labelmill-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**{"compression": compression} if compression else {}).parquet(path)
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)

@@ -7,6 +7,7 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
 from itertools import batched
 from math import inf
 
@@ -16,10 +17,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Section levels unrolled in the schema; deeper ones are cut out of the text by ``deep_fragments`` and parsed with the same schema.
+#: Section levels unrolled in the schema; deeper ones are cut out of the text by ``cut_sections`` and parsed with the same schema.
 DEPTH = 6
 #: Bytes above which a label's sections aren't parsed with it, but cut out and parsed one by one: parsed as one value a label takes many times its text.
 LARGE = 1_000_000
+#: Signs of a document in which its root is looked for first.
+BEGINNING = 10_000
 NAMESPACE = "urn:hl7-org:v3"
 # Identifiers of code systems.
 SYSTEMS = {"ndc": "2.16.840.1.113883.6.69", "unii": "2.16.840.1.113883.4.9", "loinc": "2.16.840.1.113883.6.1"}
@@ -111,10 +114,26 @@ def is_large(xml: Column) -> Column:
     return F.coalesce(F.octet_length(xml) > F.lit(LARGE), F.lit(False))
 
 
+def is_deep(xml: Column) -> Column:
+    """Whether sections may lie below the schema: a label with fewer sections than levels has none that deep."""
+    return F.length(xml) - F.length(F.replace(xml, F.lit("<section"), F.lit(""))) > F.lit(DEPTH * len("<section"))
+
+
+def is_label(xml: Column, doc: Column) -> Column:
+    """Well-formed, root ``document`` of the label namespace, with id, code, set and version."""
+    pattern = rf'(?s)^\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*)*<(?:\w+:)?document\b[^>]*"{NAMESPACE}"'
+    # Nearly always the beginning tells; a pattern makes a copy of the text it is tried on.
+    root = F.substring(xml, 1, BEGINNING).rlike(pattern) | ((F.octet_length(xml) > BEGINNING) & xml.rlike(pattern))
+    parts = [doc[c].isNotNull() for c in ("id", "code", "setId", "versionNumber")]
+    return F.coalesce(reduce(lambda a, b: a & b, [doc["_corrupt_record"].isNull(), root, *parts]), F.lit(False))
+
+
 def parse(df: DataFrame, xml: str = "xml") -> DataFrame:
     """Adds doc, the parsed label. Malformed or empty XML keeps its text in doc._corrupt_record.
 
-    The body of a label above ``LARGE`` is left empty here; its sections come from :func:`deep_fragments`.
+    The body of a label above ``LARGE`` is left empty here; its sections come from :func:`cut_sections`.
+    What is asked of the text later is noted in doc, so that the text itself is only read to be cut:
+    ``_there`` (not null), ``_label`` (:func:`is_label`), ``_large``, ``_deep`` (:func:`is_deep`).
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
     whole = F.from_xml(F.when(~is_large(F.col(xml)), F.col(xml)), DOCUMENT, options)
@@ -124,7 +143,11 @@ def parse(df: DataFrame, xml: str = "xml") -> DataFrame:
     body = F.when(h["component"]["structuredBody"].isNotNull(), F.struct(F.struct(F.array().cast(f"array<struct<section:{_section(DEPTH - 1)}>>").alias("component")).alias("structuredBody")))
     fields = [c.split(" ", 1)[0] for c in _HEADER.split(", ")]
     large = F.struct(*[h[c].alias(c) for c in fields], body.alias("component"), h["_corrupt_record"].alias("_corrupt_record"))
-    return rows.withColumn("doc", F.when(h.isNotNull(), large).otherwise(F.col("doc"))).drop("_head")
+    rows = rows.withColumn("doc", F.when(h.isNotNull(), large).otherwise(F.col("doc"))).drop("_head")
+    x, d = F.col(xml), F.col("doc")
+    deep = F.when(~is_large(x), F.coalesce(is_deep(x), F.lit(False))).otherwise(F.lit(False))
+    notes = [x.isNotNull().alias("_there"), is_label(x, d).alias("_label"), is_large(x).alias("_large"), deep.alias("_deep")]
+    return rows.withColumn("doc", F.struct(*[d[c].alias(c) for c in (*fields, "component", "_corrupt_record")], *notes))
 
 
 #: Pieces that leave the cutting task at once.
@@ -183,23 +206,22 @@ def fragments(xml: bytes | memoryview, depth: int = DEPTH, least: int = 1, most:
                 yield *here[6], text
 
 
-def deep_fragments(labels: DataFrame) -> DataFrame:
-    """document_id, path, parent_section_id, s: the sections at every ``DEPTH``-th level of (document_id, xml), parsed, and all of labels above ``LARGE``.
-
-    Spark gives what lies below its schema as text without entities, which can't be parsed again;
-    so the sections are cut out of the document's own text.
-    """
-    return parse_pieces(cut_sections(labels))
+def large_fragments(labels: DataFrame, most: float = inf) -> DataFrame:
+    """document_id, path, parent_section_id, s: the sections of labels above ``LARGE`` down to depth ``most``, parsed."""
+    return parse_pieces(cut_sections(labels.where("doc._large"), most))
 
 
-def large_fragments(labels: DataFrame, most: float = inf, having: str = "") -> DataFrame:
-    """As :func:`deep_fragments`, of labels above ``LARGE`` only: the sections down to depth ``most`` whose text contains ``having``."""
-    cut = cut_sections(labels.where(is_large(F.col("xml"))), most)
-    return parse_pieces(cut.where(F.lower("x").contains(having)) if having else cut)
+def subjects(pieces: DataFrame) -> DataFrame:
+    """The parsed top-level sections of :func:`cut_sections` that may have subjects; only labels above ``LARGE`` have such pieces."""
+    return parse_pieces(pieces.where((F.size("path") == 1) & F.lower("x").contains("subject")))
 
 
 def cut_sections(labels: DataFrame, most: float = inf) -> DataFrame:
-    """document_id, path, parent_section_id, x: see :func:`fragments`; of labels above ``LARGE`` every section down to depth ``most`` is cut out alone."""
+    """document_id, path, parent_section_id, x: see :func:`fragments`; of labels above ``LARGE`` every section down to depth ``most`` is cut out alone.
+
+    ``labels`` has document_id, xml and the doc of :func:`parse`. Spark gives what lies below its schema as text
+    without entities, which can't be parsed again; so the sections are cut out of the document's own text.
+    """
     kinds = {"document_id": pa.string(), "path": pa.list_(pa.int32()), "parent_section_id": pa.string(), "x": pa.string()}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,10 +231,7 @@ def cut_sections(labels: DataFrame, most: float = inf) -> DataFrame:
             for part in batched(pieces, PIECES):
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part, strict=True), kinds.values(), strict=True)], names=list(kinds))
 
-    # A label with fewer sections than levels has none that deep.
-    many = F.length("xml") - F.length(F.replace("xml", F.lit("<section"), F.lit(""))) > F.lit(DEPTH * len("<section"))
-    large = is_large(F.col("xml"))
-    found = labels.where(F.when(large, F.lit(True)).otherwise(many)).select("document_id", "xml", large.alias("large"))
+    found = labels.where("doc._large or doc._deep").select("document_id", "xml", F.col("doc._large").alias("large"))
     # The pieces of a label are parsed by many tasks.
     return found.mapInArrow(cut, "document_id string, path array<int>, parent_section_id string, x string").repartition("document_id", "path")
 

@@ -21,15 +21,17 @@ def latest(df: DataFrame, keys: list[str], columns: list[str], order: list[str])
 
     Null order values come first; rows with a null key are dropped. Copies of a hot key are
     combined before the shuffle. With long columns only keys are counted; rows whose key occurs
-    once pass without a shuffle, and only those delivered again are aggregated whole. The repeated
-    keys are written, so Spark broadcasts them where their size allows and joins by a shuffle else.
+    once pass without a shuffle, and only those delivered again are aggregated whole. Hashes of the
+    repeated keys are written, so Spark broadcasts them where their size allows and joins by a shuffle
+    else; a key that only shares a hash is aggregated too, which leaves its row as it is.
     """
     rows = df.where(F.expr(" and ".join(f"`{k}` is not null" for k in keys)))
     if not LONG.intersection(columns):
         return _largest(rows, keys, columns, order)
-    again = materialize(rows.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*keys))
-    once = rows.join(again, keys, "left_anti").select(*keys, *[c for c in columns if c not in keys])
-    return once.unionByName(_largest(rows.join(again, keys, "left_semi"), keys, columns, order))
+    again = materialize(rows.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(F.xxhash64(*keys).alias("_key")))
+    rows = rows.withColumn("_key", F.xxhash64(*keys))
+    once = rows.join(again, "_key", "left_anti").select(*keys, *[c for c in columns if c not in keys])
+    return once.unionByName(_largest(rows.join(again, "_key", "left_semi"), keys, columns, order))
 
 
 def _largest(rows: DataFrame, keys: list[str], columns: list[str], order: list[str]) -> DataFrame:

@@ -1,6 +1,7 @@
 """Label documents: parsing, archives, tables, streaming."""
 
 import io
+import re
 import zipfile
 
 import pytest
@@ -319,6 +320,20 @@ def test_large_labels_are_cut_into_sections(spark, monkeypatch):
     assert all(whole.values()) and len(whole["quarantine"]) == 5
 
 
+def test_texts_of_labels_are_read_to_be_cut_only(spark, tmp_path):
+    """xml_load, xml_views: a text may be very long; once it is parsed and cut, no table reads it, and both cuts are one."""
+    parse(spark.createDataFrame([(label("a", nest(9)),), (label("b", BODY),), ("<html/>",), (None,)], "xml string")).write.parquet(f"file://{tmp_path}/parsed")
+    parsed = spark.read.parquet(f"file://{tmp_path}/parsed")
+    read = lambda df: re.findall(r"FileScan parquet \[([^\]]*)\]", df._jdf.queryExecution().executedPlan().toString())
+    assert read(parsed) and all("xml#" in x for x in read(parsed))
+    assert not any("xml#" in x for x in read(D.documents(parsed)))
+    cut = D.pieces(parsed)
+    for df in (D.products(parsed, cut), D.all_sections(parsed, cut)):
+        assert read(df) and not any("xml#" in x for x in read(df))
+    assert D.all_sections(parsed, cut).where("document_id = 'a'").count() == 9
+    assert sorted(e for row in D.documents(parsed).where("not success").collect() for e in row.processing_errors) == ["no readable text", "not a label document", "not a label document"]
+
+
 def test_written_sections_come_back(spark):
     """All depths; parents that are missing or in another label make roots; a circle is cut once and reported."""
     from labelmill.sources.label_xml import section_trees, write_labels
