@@ -27,8 +27,12 @@ def label_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parsed once and written, so that each table reads only the parts of the documents it needs."""
-    return materialize(parse(label_xml(spark, sf_dir).select("xml")), "zstd")
+    """Parsed once and written, so that each table reads only the parts of the documents it needs.
+
+    Labels are shuffled between writing and parsing: the joins hold a large label's text twice while it is parsed, a shuffle
+    once. By a hash, as a partitioning by the key that the joins leave is taken as done.
+    """
+    return materialize(parse(label_xml(spark, sf_dir).repartition(F.xxhash64("spl_id")).select("xml")), "zstd")
 
 
 def xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

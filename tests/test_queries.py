@@ -38,6 +38,17 @@ def test_query(spark, con, name):
     assert got == sorted(tuple(cell(v) for v in r) for r in con.sql(f"SELECT {names} FROM ({sql})").fetchall())
 
 
+@pytest.mark.skipif(not DATA.exists(), reason="no test tables")
+def test_labels_are_shuffled_before_they_are_parsed(spark, monkeypatch):
+    """xml_load, xml_views: a large label isn't parsed in the task that holds it for the joins."""
+    from labelmill.plans import labels_xml
+
+    monkeypatch.setattr(labels_xml, "parse", lambda df: df)
+    monkeypatch.setattr(labels_xml, "materialize", lambda df, *_: df)
+    plan = labels_xml._parsed(spark, str(DATA))._jdf.queryExecution().executedPlan().toString()
+    assert 0 < plan.find("Exchange hashpartitioning(xxhash64(spl_id") < plan.find("Join")
+
+
 def test_entry(spark):
     if DATA.exists():
         assert entry.entry(spark).count() > 0
